@@ -1 +1,276 @@
-QUERIES: dict = {}
+"""Problem 9: passages of evaluation texts inside a corpus."""
+
+from __future__ import annotations
+
+import html
+import re
+import unicodedata
+from collections.abc import Iterator
+from functools import lru_cache, reduce
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from filmloom.functions import wordkernel as K
+from filmloom.sources.tables import table
+
+#: Consecutive words that make a passage.
+PASSAGE_WORDS = 12
+#: Characters of a q-gram, and edits that the filter forgives within a passage.
+Q, EDITS = 8, 2
+#: Width of a diagonal band; bands overlap by half.
+BAND = 32
+#: Characters of evaluation text in one index; more of it is taken in blocks, so that what goes to the executors is bounded.
+BLOCK_CHARS = 2_000_000
+_BITS = 22
+_TAG = re.compile(r"<!--.*?-->|</?[A-Za-z][^<>]*>", re.S)
+
+
+def plain(text: str) -> str:
+    """Text without tags, with entities resolved and characters composed."""
+    if "&" in text:
+        text = html.unescape(text)
+    if "<" in text:
+        text = _TAG.sub("", text)
+    if not text.isascii() and not unicodedata.is_normalized("NFC", text):
+        text = unicodedata.normalize("NFC", text)
+    return text
+
+
+class Stream(NamedTuple):
+    """Word characters of texts without anything between them."""
+
+    chars: np.ndarray  # lower-case code points
+    opens: np.ndarray  # the character begins a word
+    closes: np.ndarray  # the character ends a word
+    starts: np.ndarray  # where each text begins (and the end)
+
+
+def stream(texts: list[str]) -> Stream:
+    """Word characters of all texts; numbers at the start of a line (time codes, list numbers) are left out.
+
+    Blanks, punctuation and invisible characters vanish, and so do hyphens at a
+    line end.  Invisible characters inside a word do not end it.
+    """
+    cp, starts = K.codepoints(texts)
+    lower, is_word = K.char_tables(True, True)
+    at = np.minimum(cp, len(is_word) - 1)
+    w = is_word[at]
+    pos = np.flatnonzero(w)
+    if not len(pos):
+        return Stream(np.zeros(0, np.uint32), np.zeros(0, bool), np.zeros(0, bool), np.zeros(len(starts), np.int64))
+    c = cp[pos]
+    opens = np.ones(len(pos), bool)
+    opens[1:] = np.diff(pos) > 1
+    # Words that a soft or line-end hyphen or an invisible character splits go on.
+    joins = np.cumsum(_joiners()[at])
+    gap = np.flatnonzero(opens)[1:]
+    gap = gap[joins[pos[gap]] > joins[pos[gap - 1]]]
+    text_of = np.searchsorted(starts, pos[gap], side="right"), np.searchsorted(starts, pos[gap - 1], side="right")
+    for i in gap[text_of[0] == text_of[1]]:
+        if _JOINS.fullmatch(cp[pos[i - 1] + 1 : pos[i]].tobytes().decode("utf-32-le", "replace")):
+            opens[i] = False
+    digit = (c >= 0x30) & (c <= 0x39)
+    first = np.flatnonzero(opens)
+    size = np.diff(np.append(first, len(pos)))
+    numeric = np.add.reduceat(digit.astype(np.int64), first) == size
+    line = np.cumsum(cp == 0x0A)[pos[first]]
+    fresh = np.ones(len(first), bool)
+    fresh[1:] = line[1:] != line[:-1]
+    prefix = numeric & fresh
+    for _ in range(4):  # 00:00:12,500
+        more = np.zeros(len(first), bool)
+        more[1:] = prefix[:-1] & numeric[1:] & ~fresh[1:]
+        prefix |= more
+    keep = ~np.repeat(prefix, size)
+    closes = np.ones(len(pos), bool)
+    closes[:-1] = opens[1:]
+    pos, opens, closes = pos[keep], opens[keep], closes[keep]
+    a = at[pos]
+    return Stream(np.where(a < len(lower) - 1, lower[a], cp[pos]), opens, closes, np.searchsorted(pos, starts))
+
+
+#: What may stand inside a word: invisible characters, and a hyphen at a line end with what begins the next line.
+_JOINS = re.compile(r"[\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]+|[\u00ad\u200b\u200c\u200d\u2060\ufeff]*[-\u2010\u2011\u00ad][\u00ad\u200b\u200c\u200d\u2060\ufeff \t]*\r?\n[ \t>*•\-]*")
+
+
+@lru_cache(maxsize=1)
+def _joiners() -> np.ndarray:
+    """Flags of the characters without which _JOINS matches nothing."""
+    out = np.zeros(len(K.char_tables(True, True)[1]), bool)
+    for a, b in ((0x2D, 0x2D), (0xAD, 0xAD), (0x200B, 0x2011), (0x202A, 0x202E), (0x2060, 0x2064), (0xFEFF, 0xFEFF)):
+        out[a : b + 1] = True
+    return out
+
+
+class LeakIndex:
+    """Q-grams of evaluation texts, to be looked up for whole corpora."""
+
+    def __init__(self, items: list[tuple[int, str]], words: int = PASSAGE_WORDS):
+        self.ids = np.array([i for i, _ in items], np.int64)
+        self.words = words
+        self.text = s = stream([plain(t) for _, t in items])
+        self.first = [np.flatnonzero(s.opens[a:b]) for a, b in zip(s.starts[:-1], s.starts[1:], strict=True)]
+        sizes = np.diff(s.starts)
+        self.need = np.full(len(items), np.iinfo(np.int64).max)
+        self.straight = self.need.copy()
+        for k, f in enumerate(self.first):
+            if len(f) >= words:
+                ends = np.append(f[words:], sizes[k])
+                shortest = int((ends - f[: len(ends)]).min())
+                # A passage of L characters with e edits shares at least L - q + 1 - e q of its q-grams.
+                self.need[k] = max(1, shortest - Q + 1 - EDITS * Q)
+                self.straight[k] = max(1, shortest - Q + 1)
+        h, at = self._grams(s)
+        item = np.searchsorted(s.starts, at, side="right") - 1
+        order = np.argsort(h, kind="stable")
+        self.hash, self.item, self.at = h[order], item[order], (at - s.starts[item])[order]
+        self.seen = np.zeros(1 << _BITS, bool)
+        self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+
+    @staticmethod
+    def _grams(s: Stream) -> tuple[np.ndarray, np.ndarray]:
+        """Hash and position of each q-gram inside one text."""
+        n = len(s.chars) - Q + 1
+        if n <= 0:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        at = np.arange(n)
+        h = K.spans(s.chars, at, at + Q)
+        whole = np.ones(n, bool)
+        for b in s.starts[1:-1]:
+            whole[max(0, b - Q + 1) : b] = False
+        return K.mix(h[whole]), at[whole]
+
+    def find(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(index of text, index of item) of every text that contains a passage of an item."""
+        s = stream(texts)
+        h, at = self._grams(s)
+        near = np.flatnonzero(self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
+        h, at = h[near], at[near]
+        lo, hi = np.searchsorted(self.hash, h, "left"), np.searchsorted(self.hash, h, "right")
+        many = hi - lo
+        if not many.sum():
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        at = np.repeat(at, many)
+        which = np.repeat(lo, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        doc = np.searchsorted(s.starts, at, side="right") - 1
+        item, diagonal = self.item[which], at - s.starts[doc] - self.at[which]
+        # A text that shares too few q-grams with an item altogether has no such region.
+        pair = doc * len(self.ids) + item
+        some = np.bincount(pair)[pair] >= self.need[item]
+        doc, item, diagonal, at = doc[some], item[some], diagonal[some], at[some]
+        # Regions that share enough q-grams for a passage with its edits: votes of text positions per band, in both rows of bands.
+        near = np.zeros(len(doc), bool)
+        for shift in (0, BAND // 2):
+            near |= _votes(doc, item, (diagonal + shift) // BAND, at) >= self.need[item]
+        doc, item, diagonal, at = doc[near], item[near], diagonal[near], at[near]
+        # Inside the band, a passage that is whole from word to word has all its q-grams on one diagonal.
+        best = np.flatnonzero(_votes(doc, item, diagonal, at) >= self.straight[item])
+        tries = np.unique(np.stack([doc[best], item[best], diagonal[best]]), axis=1) if len(best) else np.zeros((3, 0), np.int64)
+        found: set[tuple[int, int]] = set()
+        for d, i, g in tries.T.tolist():
+            if (d, i) not in found and self._aligned(s, d, i, g):
+                found.add((d, i))
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
+        return pairs[:, 0], pairs[:, 1]
+
+    def _aligned(self, s: Stream, doc: int, item: int, d: int) -> bool:
+        """Whether along a diagonal enough consecutive words of the item stand in the text, from word to word."""
+        a, n = s.starts[doc], s.starts[doc + 1] - s.starts[doc]
+        b, m = self.text.starts[item], self.text.starts[item + 1] - self.text.starts[item]
+        first = self.first[item]
+        last = np.append(first[1:], m)
+        i0, i1 = max(0, -d), min(m, n - d)
+        same = np.zeros(m + 1, np.int64)
+        same[i0 + 1 : i1 + 1] = s.chars[a + d + i0 : a + d + i1] == self.text.chars[b + i0 : b + i1]
+        total = np.cumsum(same)
+        whole = total[last] - total[first] == last - first
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], whole.astype(np.int8), [0]))))
+        for x, y in zip(edge[::2], edge[1::2], strict=True):  # words x to y - 1 match
+            while x < y and not s.opens[a + d + first[x]]:
+                x += 1
+            while x < y and not s.closes[a + d + last[y - 1] - 1]:
+                y -= 1
+            if y - x >= self.words:
+                return True
+        return False
+
+
+def _votes(doc: np.ndarray, item: np.ndarray, band: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """For each hit the number of distinct text positions among the hits of its (text, item, band)."""
+    if not len(doc):
+        return np.zeros(0, np.int64)
+    low = int(band.min())
+    key = (doc * (int(item.max()) + 1) + item) * (int(band.max()) - low + 1) + (band - low)
+    order = np.argsort(key, kind="stable")  # the hits come in the order of their text positions
+    k, p = key[order], at[order]
+    new = np.ones(len(k), bool)
+    new[1:] = k[1:] != k[:-1]
+    group = np.cumsum(new) - 1
+    distinct = new.copy()
+    distinct[1:] |= p[1:] != p[:-1]
+    out = np.empty(len(k), np.int64)
+    out[order] = np.bincount(group[distinct])[group]
+    return out
+
+
+def blocks(items: DataFrame, item: str, text: str, chars: int = BLOCK_CHARS) -> Iterator[LeakIndex]:
+    """Indexes over the evaluation texts, each of at most about ``chars`` characters (or one text)."""
+    run: list[tuple[int, str]] = []
+    size = 0
+    for r in items.select(item, text).dropna().toLocalIterator():
+        if run and size + len(r[1]) > chars:
+            yield LeakIndex(run)
+            run, size = [], 0
+        run.append((r[0], r[1]))
+        size += len(r[1])
+    yield LeakIndex(run)
+
+
+def leaks(documents: DataFrame, doc: str, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
+    """(doc, item) for every document that contains at least PASSAGE_WORDS consecutive words of an item.
+
+    The documents are read once per block of evaluation texts and never
+    shuffled.  Each shared q-gram of characters (blanks and punctuation left out)
+    votes for two overlapping bands of diagonals; bands with too few shared
+    q-grams to hold a passage within the edit budget are dropped, and the rest
+    is verified by alignment along the band's diagonals.  A passage that stands
+    in several items counts for each.
+
+    Case, punctuation, blanks, line breaks, numbers at a line start, invisible
+    characters, tags and entities do not matter.  Documents or items with null
+    text, or null identifier, give no row; an item of fewer words than a passage is
+    contained in nothing; repeated identifiers give one row; empty tables give
+    an empty result.
+    """
+    kinds = dict(documents.dtypes)[doc], dict(items.dtypes)[item]
+    source = documents.select(F.col(doc).alias("d"), F.col(text).alias("t")).dropna()
+
+    def search(index: LeakIndex) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for first, texts in K.chunks(plain(t) for t in b.column(1).to_pylist()):
+                    d, i = index.find(texts)
+                    if len(d):
+                        yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(first + d)), pa.array(index.ids[i])], names=["d", "i"])
+
+        return source.mapInArrow(run, f"d {kinds[0]}, i bigint")
+
+    found = reduce(DataFrame.unionByName, [search(x) for x in blocks(items, item, item_text)])
+    return found.distinct().select(F.col("d").alias(doc), F.col("i").cast(kinds[1]).alias(item))
+
+
+def p9_found(spark, folder: str) -> DataFrame:
+    """Documents with the evaluation items they contain."""
+    return leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_items"), "item_id", "text")
+
+
+def p9_items(spark, folder: str) -> DataFrame:
+    """Each leaked item with the number of documents that hold it."""
+    return p9_found(spark, folder).groupBy("item_id").agg(F.count(F.lit(1)).alias("documents"))
+
+
+QUERIES = {"p9_found": p9_found, "p9_items": p9_items}
