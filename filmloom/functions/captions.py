@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from filmloom.functions import vocabulary as V
+from filmloom.functions.rounding import rounded
 from filmloom.functions.scoring import clip_bucket
 
 # Openers that speak about the clip instead of its content, tried in this order.
@@ -116,7 +117,7 @@ def classified(answer: Column) -> Column:
     confidence = F.coalesce(F.nullif(get("bucket_confidence", "double"), F.lit(0.0)), F.lit(0.5))
     raw = F.coalesce(F.nullif(get("primary_bucket"), F.lit("")), F.nullif(get("bucket"), F.lit("")), F.lit(""))
     attributes = F.map_filter(F.map_from_arrays(F.array(*[F.lit(a) for a in V.ATTRIBUTES]), F.array(*[get(a) for a in V.ATTRIBUTES])), lambda _, x: x.isNotNull())
-    return F.struct(clip_bucket(raw).alias("bucket"), F.round(confidence, 4).alias("bucket_confidence"), reject.alias("reject"), reason.alias("reject_reason"), attributes.alias("attributes"))
+    return F.struct(clip_bucket(raw).alias("bucket"), rounded(confidence, 4).alias("bucket_confidence"), reject.alias("reject"), reason.alias("reject_reason"), attributes.alias("attributes"))
 
 
 def caption_prompt(base: Column, names: Column, label: Column, longest: int = 100) -> Column:

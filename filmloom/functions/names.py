@@ -188,7 +188,6 @@ def repair_names(df: DataFrame, caption: str, names: str, gender: Column, *, how
             text = fit_attire(text, n, g)
         return text
 
-    @F.pandas_udf("struct<fixed: string, over: boolean>")
     def run(texts: pd.Series, whos: pd.Series, ofs: pd.Series) -> pd.DataFrame:
         out = []
         for t, w, g in zip(texts, whos, ofs, strict=True):
@@ -198,5 +197,5 @@ def repair_names(df: DataFrame, caption: str, names: str, gender: Column, *, how
             out.append((t, None) if t is None else (fix(t, w, g), over_tagged(t, w) or meets_self(t, w)))
         return pd.DataFrame(out, columns=["fixed", "over"])
 
-    r = run(F.col(caption), F.col(names), gender)
+    r = F.pandas_udf(run, "fixed string, over boolean")(F.col(caption), F.col(names), gender)
     return df.withColumn("__r", r).withColumns({f"{caption}_fixed": F.col("__r.fixed"), "over_tagged": F.col("__r.over")}).drop("__r")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from filmloom.functions import vocabulary as V
 from filmloom.functions.hashing import md5_mod
+from filmloom.functions.rounding import rounded
 
 
 def clamp(c: Column, low: float = 0.0, high: float = 1.0) -> Column:
@@ -43,7 +44,7 @@ def combined_score(clip: Column, icr: Column, aod: Column, nouns: Column, weight
     """
     c, i, a = weights
     damp = F.least(nouns / F.lit(least_nouns), F.lit(1.0))
-    return F.round(F.lit(c) * clip + F.lit(i) * icr * damp + F.lit(a) * F.least(aod, F.lit(1.0)) * damp, 4)
+    return rounded(F.lit(c) * clip + F.lit(i) * icr * damp + F.lit(a) * F.least(aod, F.lit(1.0)) * damp, 4)
 
 
 def adjective_category(word: Column) -> Column:
@@ -60,13 +61,13 @@ def noun_coverage(labels: Column, nouns: Column) -> Column:
     low = F.transform(labels, F.lower)
     text = F.array_join(low, " ")
     hit = F.filter(nouns, lambda n: F.contains(text, n) | F.exists(low, lambda x: F.contains(n, x)))
-    return F.when(F.size(nouns) > 0, F.round(F.least(F.size(hit) / F.size(nouns), F.lit(1.0)), 4)).otherwise(F.lit(0.0))
+    return F.when(F.size(nouns) > 0, rounded(F.least(F.size(hit) / F.size(nouns), F.lit(1.0)), 4)).otherwise(F.lit(0.0))
 
 
 def motion_fusion(first: Column, second: Column, weights: tuple[float, float] = (0.7, 0.3)) -> Column:
     """Weighted mean of two motion scores, 4 digits; 0 for weights that don't add up to more than 0."""
     a, b = weights
-    return F.round((a * F.coalesce(first, F.lit(0.0)) + b * F.coalesce(second, F.lit(0.0))) / (a + b), 4) if a + b > 0 else F.lit(0.0)
+    return rounded((a * F.coalesce(first, F.lit(0.0)) + b * F.coalesce(second, F.lit(0.0))) / (a + b), 4) if a + b > 0 else F.lit(0.0)
 
 
 def flow_score(raw: Column, scale: float = 8.0) -> Column:
@@ -78,13 +79,13 @@ def clip_final_score(clip: Column, dover: Column, aesthetic: Column, motion: Col
     zero = F.lit(0.0)
     present = F.when(F.length(F.trim(F.coalesce(caption, F.lit("")))) > 0, 1.0).otherwise(0.0)
     score = 0.25 * F.coalesce(clip, zero) + 0.30 * clamp(F.coalesce(dover, aesthetic, zero)) + 0.20 * clamp(F.coalesce(motion, zero)) + 0.15 * clamp(F.coalesce(bucket, zero)) + 0.10 * present
-    return F.when(keeps(keep), F.round(score, 4)).otherwise(zero)
+    return F.when(keeps(keep), rounded(score, 4)).otherwise(zero)
 
 
 def first_final_score(clip: Column, icr: Column, aod: Column, weights: tuple[float, float, float] = (0.35, 0.40, 0.25)) -> Column:
     """Fused quality in the older form of the clip pipeline."""
     c, i, a = weights
-    return F.round(F.lit(c) * clip + F.lit(i) * icr + F.lit(a) * aod, 4)
+    return rounded(F.lit(c) * clip + F.lit(i) * icr + F.lit(a) * aod, 4)
 
 
 # Deterministic stand-ins for model scores
@@ -120,7 +121,7 @@ def logo_score(std: Column, edges: Column, laplacian: Column, std_range: tuple[f
     part = 0.35 * F.least(F.lit(1.0), (std - low) / max(1.0, high - low))
     part += 0.40 * F.least(F.lit(1.0), edges / max(least_edges, 0.01))
     part += 0.25 * F.least(F.lit(1.0), laplacian / max(least_laplacian, 1.0))
-    return F.when(sharp, F.round(part, 4)).otherwise(F.lit(0.0))
+    return F.when(sharp, rounded(part, 4)).otherwise(F.lit(0.0))
 
 
 def logo_decision(corners: Column, template_corner: Column, template: float = 0.55, heuristic: float = 0.5) -> Column:
@@ -134,7 +135,7 @@ def logo_decision(corners: Column, template_corner: Column, template: float = 0.
     best = F.aggregate(corners, F.try_element_at(corners, F.lit(1)), lambda a, c: F.when(c["heuristic"] > a["heuristic"], c).otherwise(a))
 
     def say(present: Column | bool, corner: Column, method: str, score: Column) -> Column:
-        return F.struct(F.lit(present).alias("present"), corner.cast("string").alias("corner"), F.lit(method).alias("method"), F.round(score, 4).alias("score"))
+        return F.struct(F.lit(present).alias("present"), corner.cast("string").alias("corner"), F.lit(method).alias("method"), rounded(score, 4).alias("score"))
 
     learned = (
         F.when((own["template_match"] >= template) & (own["heuristic"] >= 0.25), say(True, own["corner"], "template", own["template_match"]))
@@ -185,7 +186,7 @@ def actor_status(names: Column, similarity: Column, margin: Column, least_simila
 def verify_score(score: Column, passing: int = 4) -> Column:
     """Struct (score, norm, passed): the score within 1 to 5, on a scale from 0 to 1, and whether it passes; null fails."""
     s = F.greatest(F.lit(1), F.least(F.lit(5), score))
-    return F.struct(s.cast("int").alias("score"), F.round((s - 1) / 4, 3).alias("norm"), F.coalesce(s >= passing, F.lit(False)).alias("passed"))
+    return F.struct(s.cast("int").alias("score"), rounded((s - 1) / 4, 3).alias("norm"), F.coalesce(s >= passing, F.lit(False)).alias("passed"))
 
 
 def clip_bucket(raw: Column) -> Column:

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filmloom.functions.rounding import rounded
 from filmloom.operators.positions import positions
 
 
@@ -24,7 +25,7 @@ def statistics(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     """Per column: n, mean, sample deviation, least, greatest and median of the values that are neither null nor NaN."""
     rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns])
     long = df.select(F.inline(rows)).where("v is not null and not isnan(v)")
-    r = lambda x: F.round(x, digits)
+    r = lambda x: rounded(x, digits)
     return long.groupBy("metric").agg(F.count("v").alias("n"), r(F.avg("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"), r(F.min("v")).alias("min"), r(F.max("v")).alias("max"), r(F.percentile("v", F.lit(0.5))).alias("median"))
 
 
@@ -48,7 +49,7 @@ def group_percentiles(df: DataFrame, group: list[str], value: str, shares: dict[
 def clamped_bounds(df: DataFrame, group: list[str], value: str, *, low: float = 0.1, high: float = 0.9, floor: float = 0.05, ceiling: float = 0.95) -> DataFrame:
     """Lower and upper bound of a score per source: percentiles kept within fixed limits (4 digits)."""
     p = group_percentiles(df, group, value, {"__l": low, "__h": high})
-    return p.select(*group, "n", F.round(F.greatest("__l", F.lit(floor)), 4).alias("lower"), F.round(F.least("__h", F.lit(ceiling)), 4).alias("upper"))
+    return p.select(*group, "n", rounded(F.greatest("__l", F.lit(floor)), 4).alias("lower"), rounded(F.least("__h", F.lit(ceiling)), 4).alias("upper"))
 
 
 def histogram(df: DataFrame, metrics: list[str], keep: Column) -> DataFrame:
@@ -60,14 +61,14 @@ def histogram(df: DataFrame, metrics: list[str], keep: Column) -> DataFrame:
     scopes = F.explode(F.when(keep, F.array(F.lit("all"), F.lit("kept"))).otherwise(F.array(F.lit("all")))).alias("scope")
     long = df.select(scopes, rows.alias("r")).select("scope", F.inline("r")).where("v is not null and not isnan(v)")
     bin_ = F.when((F.col("v") >= 0) & (F.col("v") < 0.8), F.floor(F.col("v") * 5)).otherwise(4).cast("int")
-    return long.groupBy("metric", "scope", bin_.alias("bin")).agg(F.count("v").alias("n"), F.round(F.avg("v"), 4).alias("mean"))
+    return long.groupBy("metric", "scope", bin_.alias("bin")).agg(F.count("v").alias("n"), rounded(F.avg("v"), 4).alias("mean"))
 
 
 def nested_statistics(df: DataFrame, group: str, gate: str, score: str) -> DataFrame:
     """Per group: count, a map of the counts by gate, and the mean score."""
     per = df.groupBy(group, gate).agg(F.count(F.lit(1)).alias("n"), F.sum(score).alias("s"), F.count(score).alias("k"))
     counts = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce(F.col(gate), F.lit("")), "n"))))
-    return per.groupBy(group).agg(F.sum("n").alias("count"), counts.alias("gate_counts"), F.round(F.sum("s") / F.sum("k"), 4).alias("mean_score"))
+    return per.groupBy(group).agg(F.sum("n").alias("count"), counts.alias("gate_counts"), rounded(F.sum("s") / F.sum("k"), 4).alias("mean_score"))
 
 
 def clip_summary(df: DataFrame, keep: Column, reject: Column) -> DataFrame:
@@ -82,10 +83,10 @@ def clip_summary(df: DataFrame, keep: Column, reject: Column) -> DataFrame:
         F.count_if(reject).alias("rejected"),
         F.count_if(~keep & (F.col("s2_reject_reason") == "duplicate")).alias("duplicates"),
         F.count_if(F.upper(F.trim("verdict")) == "FINAL").alias("final"),
-        F.round(F.coalesce(F.min(score), zero), 4).alias("least_score"),
-        F.round(F.coalesce(F.max(score), zero), 4).alias("greatest_score"),
-        F.round(F.coalesce(F.avg(score), zero), 4).alias("mean_score"),
-        F.round(F.coalesce(F.sum(F.when(kept, F.col("duration"))), zero), 2).alias("kept_seconds"),
+        rounded(F.coalesce(F.min(score), zero), 4).alias("least_score"),
+        rounded(F.coalesce(F.max(score), zero), 4).alias("greatest_score"),
+        rounded(F.coalesce(F.avg(score), zero), 4).alias("mean_score"),
+        rounded(F.coalesce(F.sum(F.when(kept, F.col("duration"))), zero), 2).alias("kept_seconds"),
     )
 
 
@@ -101,8 +102,8 @@ def funnel(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
 
 def runtime_table(df: DataFrame, movie: str, step: str, seconds: str, steps: list[str]) -> DataFrame:
     """Wide table of runtimes with a total: one row per movie, 0 for steps that did not run."""
-    wide = df.groupBy(movie).pivot(step, steps).agg(F.round(F.sum(seconds), 2)).na.fill(0.0, steps)
-    return wide.withColumn("total", F.round(reduce(lambda a, b: a + b, [F.col(s) for s in steps]), 2))
+    wide = df.groupBy(movie).pivot(step, steps).agg(rounded(F.sum(seconds), 2)).na.fill(0.0, steps)
+    return wide.withColumn("total", rounded(reduce(lambda a, b: a + b, [F.col(s) for s in steps]), 2))
 
 
 def top(df: DataFrame, score: Column, order: list[Column], n: int, name: str = "place") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filmloom.functions.geometry import iou
+from filmloom.functions.rounding import rounded
 from filmloom.functions.vectors import dot, unit
 
 #: Labelled vectors that are held in memory at once.
@@ -36,7 +37,7 @@ def consensus(df: DataFrame, label: str, item: str, vector: str, *, least: float
     ok = df.where(F.col(label).isNotNull() & (F.size(vector) > 0)).select(F.col(label).alias("l"), F.col(item).alias("i"), unit(F.col(vector)).alias("u"))
     parts = ok.select("l", F.posexplode("u").alias("k", "x")).groupBy("l", "k").agg(F.avg("x").alias("m"), F.count("x").alias("n"))
     mean = parts.groupBy("l").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "m"))), lambda p: p["m"]).alias("m"), F.max("n").alias("n")).where(F.col("n") >= least_items)
-    scored = ok.join(mean, "l").select("l", "i", F.round(dot(F.col("u"), F.col("m")), 6).alias("s"))
+    scored = ok.join(mean, "l").select("l", "i", rounded(dot(F.col("u"), F.col("m")), 6).alias("s"))
     best = scored.groupBy("l").agg(F.max(F.struct("s", (-F.col("i")).alias("o"), "i")).alias("b")).select("l", F.col("b.i").alias("c"))
     return scored.join(best, "l").select(F.col("l").alias(label), F.col("i").alias(item), F.col("s").alias("mean_similarity"), (F.col("i") == F.col("c")).alias("is_consensus"), (F.col("s") >= least).alias("keep"))
 
@@ -109,7 +110,7 @@ def assign(
     if len(parts) > 1:
         best = found.groupBy("i").agg(F.max_by(F.struct("l", "s1"), "s1").alias("b"), F.sort_array(F.flatten(F.collect_list(F.array("s1", "s2"))), asc=False).alias("all"))
         found = best.select("i", F.col("b.l").alias("l"), F.col("b.s1").alias("s1"), F.try_element_at("all", F.lit(2)).alias("s2"))
-    s1, margin = F.round("s1", 4), F.round(F.col("s1") - F.coalesce("s2", F.lit(0.0)), 4)
+    s1, margin = rounded("s1", 4), rounded(F.col("s1") - F.coalesce("s2", F.lit(0.0)), 4)
     sure = (s1 >= least) & (margin >= least_margin)
     return found.select(F.col("i").alias(item), F.when(sure, F.col("l")).cast(kinds[1]).alias("label"), s1.alias("similarity"), margin.alias("margin"))
 
@@ -122,7 +123,7 @@ def match_boxes(left: DataFrame, right: DataFrame, key: list[str], left_id: str,
     """
     r = right.select(*key, F.col(right_id).alias("__r"), F.col(box).alias("__b"))
     both = left.select(*key, F.col(left_id).alias("__l"), F.col(box).alias("__a")).join(r, key)
-    scored = both.withColumn("__s", F.round(iou(F.col("__a"), F.col("__b")), 6)).where(F.col("__s") >= 0 if zero else F.col("__s") > 0)
+    scored = both.withColumn("__s", rounded(iou(F.col("__a"), F.col("__b")), 6)).where(F.col("__s") >= 0 if zero else F.col("__s") > 0)
     w = Window.partitionBy(*key, "__l").orderBy(F.col("__s").desc(), F.col("__r"))
     best = scored.withColumn("__n", F.row_number().over(w)).where("__n = 1")
     return best.select(*key, F.col("__l").alias(left_id), F.col("__r").alias(right_id), F.col("__s").alias("iou"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filmloom.functions.rounding import rounded
+
 
 def frame_vote(df: DataFrame, key: list[str], order: str, bucket: str, confidence: str, reject: str, attributes: list[str] | None = None) -> DataFrame:
     """One label per clip from its frames: (key, frames, reject, bucket, bucket_confidence, attributes...).
@@ -29,7 +31,7 @@ def frame_vote(df: DataFrame, key: list[str], order: str, bucket: str, confidenc
     all_ = per.groupBy(*key).agg(F.sum("__n").cast("int").alias("frames"), F.sum("__r").alias("__r"), best.alias("__w"))
     refused = F.col("__r") >= F.greatest(F.lit(1), F.floor(F.col("frames") / 2) + 1)
     share = F.col("__w.__c") / F.col("__w.__n") * F.col("__w.__n") / F.col("frames")
-    return all_.select(*key, "frames", refused.alias("reject"), F.col("__w.__b").alias(bucket), F.round(share, 4).alias(confidence), *[F.col(f"__w.__first.{a}").alias(a) for a in attributes])
+    return all_.select(*key, "frames", refused.alias("reject"), F.col("__w.__b").alias(bucket), rounded(share, 4).alias(confidence), *[F.col(f"__w.__first.{a}").alias(a) for a in attributes])
 
 
 def most_common(df: DataFrame, key: list[str], value: str, order: str) -> DataFrame:
