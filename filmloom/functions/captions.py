@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmloom.functions import vocabulary as V
@@ -62,21 +62,23 @@ def caption_text(c: Column) -> Column:
     return F.when(t.startswith("{") & F.contains(t, F.lit("short_description")), F.coalesce(described, t)).otherwise(t)
 
 
-def prose_caption(caption: Column, generated: Column, struct: Column) -> Column:
-    """The caption for exports: never a JSON text if any field has prose."""
-    prose_form = F.coalesce(json_text(struct, "_format") == "prose", F.lit(False))
-    plain = lambda c: F.when((caption_text(c) != "") & ~(caption_text(c).startswith("{") & F.contains(caption_text(c), F.lit("short_description"))), caption_text(c))
-    described = F.nullif(F.trim(F.coalesce(json_text(struct, "short_description"), F.lit(""))), F.lit(""))
-    return F.when(prose_form, F.coalesce(described, caption_text(caption))).otherwise(F.coalesce(plain(caption), plain(generated), caption_text(caption)))
+def with_captions(df: DataFrame, caption: str, generated: str, struct: str, *, prose: str = "prose", review: str | None = None) -> DataFrame:
+    """Add the caption for exports, and the one for reviewers.
 
-
-def review_caption(caption: Column, generated: Column, struct: Column) -> Column:
-    """The caption for a reviewer: the prose, else the whole object."""
-    broken = F.coalesce(F.contains(struct, F.lit('"_parse_error"')), F.lit(False))
-    whole = F.when(~broken & (F.length(F.trim(struct)) > 2), F.to_json(F.try_parse_json(repair_json(struct))))
-    prose_form = F.coalesce(json_text(struct, "_format") == "prose", F.lit(False))
-    text = F.coalesce(F.nullif(json_text(struct, "short_description"), F.lit("")), caption, F.lit(""))
-    return F.when(prose_form, F.trim(text)).otherwise(F.coalesce(whole, F.to_json(F.try_parse_json(repair_json(generated))), caption_text(caption)))
+    Exports never get a JSON text if any field has prose; reviewers get the
+    prose, else the whole object.  The parsed parts are columns of their own
+    first, so that no answer is parsed twice.
+    """
+    parts = df.withColumns({"__c": caption_text(F.col(caption)), "__g": caption_text(F.col(generated)), "__s": repair_json(F.col(struct)), "__o": repair_json(F.col(generated))})
+    get = lambda k: F.try_variant_get(F.try_parse_json("__s"), f"$.{k}", "string")
+    parts = parts.withColumns({"__d": F.nullif(F.trim(F.coalesce(get("short_description"), F.lit(""))), F.lit("")), "__p": F.coalesce(get("_format") == "prose", F.lit(False))})
+    plain = lambda c: F.when((F.col(c) != "") & ~(F.col(c).startswith("{") & F.contains(F.col(c), F.lit("short_description"))), F.col(c))
+    out = {prose: F.when(F.col("__p"), F.coalesce("__d", "__c")).otherwise(F.coalesce(plain("__c"), plain("__g"), F.col("__c")))}
+    if review:
+        broken = F.coalesce(F.contains(struct, F.lit('"_parse_error"')), F.lit(False))
+        whole = F.when(~broken & (F.length(F.trim(struct)) > 2), F.to_json(F.try_parse_json("__s")))
+        out[review] = F.when(F.col("__p"), F.trim(F.coalesce(F.col("__d"), F.col(caption), F.lit("")))).otherwise(F.coalesce(whole, F.to_json(F.try_parse_json("__o")), F.col("__c")))
+    return parts.withColumns(out).drop("__c", "__g", "__s", "__o", "__d", "__p")
 
 
 def strip_openers(c: Column) -> Column:
@@ -93,7 +95,7 @@ def strip_openers(c: Column) -> Column:
 
 def parsed_score(answer: Column) -> Column:
     """Struct (score, explanation): the first line that is or begins with a digit from 1 to 5 gives the score, the rest explains it."""
-    lines = F.filter(F.transform(F.split(F.coalesce(answer, F.lit("")), "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.coalesce(answer, F.lit("")), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     form = r"^[1-5](?![0-9])"
     at = F.array_position(F.transform(lines, lambda x: x.rlike(form)), True).cast("int")
     line = F.try_element_at(lines, F.greatest(at, F.lit(1)))

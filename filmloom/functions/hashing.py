@@ -51,7 +51,7 @@ def simhash(words: Column) -> Column:
     """
     pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
     hashes = F.transform(pairs, lambda p: F.conv(F.substring(F.md5(p), 1, 16), 16, -10).cast("bigint"))
-    bit = lambda h, k: F.shiftrightunsigned(h, k).bitwiseAND(F.lit(1))
+    bit = lambda h, k: F.call_function("shiftrightunsigned", h, k).bitwiseAND(F.lit(1))
     ones = F.aggregate(hashes, F.array_repeat(F.lit(0), 64), lambda acc, h: F.transform(acc, lambda x, k: x + bit(h, k).cast("int")))
-    sign = F.transform(ones, lambda x, k: F.when(2 * x > F.size(words) - 1, F.shiftleft(F.lit(1).cast("bigint"), k)).otherwise(F.lit(0).cast("bigint")))
+    sign = F.transform(ones, lambda x, k: F.when(2 * x > F.size(words) - 1, F.call_function("shiftleft", F.lit(1).cast("bigint"), k)).otherwise(F.lit(0).cast("bigint")))
     return F.when(F.size(words) > 1, F.aggregate(sign, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x)))

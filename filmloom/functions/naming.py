@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from filmloom.functions.rounding import rounded
+
 
 def file_name(path: Column) -> Column:
     """Last component of a path."""
@@ -77,7 +79,7 @@ def local_range(start: Column, end: Column, own: Column, default: float = 0.0) -
 def frame_offsets(duration: Column, default: float = 5.0) -> Column:
     """Three sample times within a clip: at 20, 50 and 80 % of its length of at least a second."""
     d = F.greatest(F.coalesce(duration, F.lit(default)), F.lit(1.0))
-    return F.array(*[F.round(d * x, 3) for x in (0.2, 0.5, 0.8)])
+    return F.array(*[rounded(d * x, 3) for x in (0.2, 0.5, 0.8)])
 
 
 def human_duration(s: Column) -> Column:

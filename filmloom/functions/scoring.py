@@ -11,7 +11,8 @@ from filmloom.functions.rounding import rounded
 
 
 def clamp(c: Column, low: float = 0.0, high: float = 1.0) -> Column:
-    return F.greatest(F.lit(low), F.least(F.lit(high), c))
+    """The number within limits; null stays null, which least and greatest would skip."""
+    return F.when(c.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), c)))
 
 
 def known(c: Column) -> Column:
@@ -44,7 +45,7 @@ def combined_score(clip: Column, icr: Column, aod: Column, nouns: Column, weight
     """
     c, i, a = weights
     damp = F.least(nouns / F.lit(least_nouns), F.lit(1.0))
-    return rounded(F.lit(c) * clip + F.lit(i) * icr * damp + F.lit(a) * F.least(aod, F.lit(1.0)) * damp, 4)
+    return rounded(F.lit(c) * clip + F.lit(i) * icr * damp + F.lit(a) * F.when(aod > 1, F.lit(1.0)).otherwise(aod) * damp, 4)
 
 
 def adjective_category(word: Column) -> Column:
@@ -185,7 +186,7 @@ def actor_status(names: Column, similarity: Column, margin: Column, least_simila
 
 def verify_score(score: Column, passing: int = 4) -> Column:
     """Struct (score, norm, passed): the score within 1 to 5, on a scale from 0 to 1, and whether it passes; null fails."""
-    s = F.greatest(F.lit(1), F.least(F.lit(5), score))
+    s = clamp(score, 1, 5)
     return F.struct(s.cast("int").alias("score"), rounded((s - 1) / 4, 3).alias("norm"), F.coalesce(s >= passing, F.lit(False)).alias("passed"))
 
 

@@ -28,13 +28,13 @@ def positions(df: DataFrame, group: list[str], order: list[Column], *, name: str
     placed = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     placed = materialise(placed.withColumn("__at_row", F.monotonically_increasing_id()))
     part = F.shiftright("__at_row", 33)
-    held = placed.groupBy(part.alias("__part"), *keys).agg(F.count(F.lit(1)).alias("__n"), F.min("__at_row").alias("__first"))
+    held = placed.groupBy(part.alias("__part"), *keys).agg(F.count(F.lit(1)).alias("__held"), F.min("__at_row").alias("__first"))
     w = Window.partitionBy(*[F.col(f"`{g}`") for g in group])
-    before = F.sum("__n").over(w.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("__held").over(w.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
     held = held.withColumn("__offset", F.coalesce(before, F.lit(0)) - F.col("__first") + 1)
     if total:
-        held = held.withColumn(total, F.sum("__n").over(w))
-    held = held.drop("__n", "__first").withColumnsRenamed({g: f"__g{i}" for i, g in enumerate(group)})
+        held = held.withColumn(total, F.sum("__held").over(w))
+    held = held.drop("__held", "__first").withColumnsRenamed({g: f"__g{i}" for i, g in enumerate(group)})
     on = F.col("__part") == part
     for i, g in enumerate(group):
         on = on & F.col(f"`{g}`").eqNullSafe(F.col(f"__g{i}"))

@@ -27,7 +27,7 @@ def frame_vote(df: DataFrame, key: list[str], order: str, bucket: str, confidenc
         F.sum(F.coalesce(F.col(confidence), F.lit(0.5))).alias("__c"),
         F.count_if(F.coalesce(F.col(reject), F.lit(False))).alias("__r"),
     )
-    best = F.max_by(F.struct("__b", "__n", "__c", "__first"), F.struct("__n", (-F.col(f"__first.{order}").cast("double")).alias("o")))
+    best = F.min_by(F.struct("__b", "__n", "__c", "__first"), F.struct((-F.col("__n")).alias("n"), F.col(f"__first.{order}").alias("o")))
     all_ = per.groupBy(*key).agg(F.sum("__n").cast("int").alias("frames"), F.sum("__r").alias("__r"), best.alias("__w"))
     refused = F.col("__r") >= F.greatest(F.lit(1), F.floor(F.col("frames") / 2) + 1)
     share = F.col("__w.__c") / F.col("__w.__n") * F.col("__w.__n") / F.col("frames")
@@ -37,7 +37,7 @@ def frame_vote(df: DataFrame, key: list[str], order: str, bucket: str, confidenc
 def most_common(df: DataFrame, key: list[str], value: str, order: str) -> DataFrame:
     """The most frequent value per key with its count, of equals the one seen first."""
     per = df.groupBy(*key, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("__o"))
-    first = F.max_by(F.struct("__v", "n"), F.struct("n", (-F.col("__o").cast("double")).alias("o")))
+    first = F.min_by(F.struct("__v", "n"), F.struct((-F.col("n")).alias("m"), "__o", "__v"))
     return per.groupBy(*key).agg(first.alias("b")).select(*key, F.col("b.__v").alias(value), F.col("b.n").alias("n"))
 
 

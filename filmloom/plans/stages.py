@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filmloom.functions import scoring as S
-from filmloom.functions.captions import prose_caption, strip_openers
+from filmloom.functions.captions import strip_openers, with_captions
 from filmloom.operators.dedup import greedy_keep
 from filmloom.operators.reports import clamped_bounds
 
@@ -72,7 +72,8 @@ def classify(df: DataFrame, cfg: Config) -> DataFrame:
 
 
 def caption(df: DataFrame, cfg: Config) -> DataFrame:
-    return df.withColumn("caption", strip_openers(prose_caption(F.col("caption"), F.col("generated_caption"), F.col("caption_struct"))))
+    out = with_captions(df, "caption", "generated_caption", "caption_struct", prose="__prose")
+    return out.withColumn("caption", strip_openers(F.col("__prose"))).drop("__prose")
 
 
 def score(df: DataFrame, cfg: Config) -> DataFrame:

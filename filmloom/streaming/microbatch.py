@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 
 def file_stream(spark: SparkSession, folder: str, kind: str, *, fmt: str = "parquet", files: int = 1) -> DataFrame:
-    """Files of a folder as a stream, so many per micro-batch."""
+    """Files of a folder as a stream, so many per micro-batch. A path may name one file: as a pattern it needs no folder."""
+    folder = folder.rstrip("/")
+    if not folder.endswith("]") and folder.rpartition("/")[2].count("."):
+        folder = f"{folder[:-1]}[{folder[-1]}]"
     return spark.readStream.schema(kind).format(fmt).option("maxFilesPerTrigger", files).load(folder)
 
 
