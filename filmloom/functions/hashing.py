@@ -1,8 +1,8 @@
-"""Hash arithmetic: md5 remainders, 64-bit perceptual hashes, bands, SimHash."""
+"""Hash arithmetic: md5 remainders, 64-bit perceptual hashes, SimHash."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,28 +30,18 @@ def hamming(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def bands(bits: Column, distance: int) -> Column:
-    """Array of (band, value) such that hashes within ``distance`` share at least one.
-
-    64 bits in distance + 1 bands: by the pigeonhole principle one band has no differing bit.
-    """
-    n = distance + 1
-    edges = [64 * i // n for i in range(n + 1)]
-    cut = [
-        F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(bits, a).bitwiseAND(F.lit((1 << (b - a)) - 1 if b - a < 64 else -1)).alias("value"))
-        for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False))
-    ]
-    return F.array(*cut)
-
-
-def simhash(words: Column) -> Column:
-    """64-bit SimHash over the pairs of neighbouring words; null for fewer than two words.
+def simhash(df: DataFrame, item: str, text: str) -> DataFrame:
+    """(item, simhash): 64-bit SimHash over the pairs of neighbouring words of each text, split at blanks.
 
     Each pair votes with the sign of every bit of the first 64 bits of its md5.
+    The votes are summed on the map side, so only one row per item travels.  A
+    text of fewer than two words, or null, gives no row.
     """
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    hashes = F.transform(pairs, lambda p: F.conv(F.substring(F.md5(p), 1, 16), 16, -10).cast("bigint"))
-    bit = lambda h, k: F.call_function("shiftrightunsigned", h, k).bitwiseAND(F.lit(1))
-    ones = F.aggregate(hashes, F.array_repeat(F.lit(0), 64), lambda acc, h: F.transform(acc, lambda x, k: x + bit(h, k).cast("int")))
-    sign = F.transform(ones, lambda x, k: F.when(2 * x > F.size(words) - 1, F.call_function("shiftleft", F.lit(1).cast("bigint"), k)).otherwise(F.lit(0).cast("bigint")))
-    return F.when(F.size(words) > 1, F.aggregate(sign, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x)))
+    words = F.filter(F.split(F.col(text), r"\s+"), lambda w: w != "")
+    rows = df.select(F.col(item).alias("__i"), words.alias("__w")).where(F.size("__w") > 1)
+    pairs = rows.select("__i", F.explode(F.zip_with(F.slice("__w", 1, F.size("__w") - 1), F.slice("__w", 2, F.size("__w") - 1), lambda a, b: F.concat_ws(" ", a, b))).alias("__p"))
+    hashed = pairs.select("__i", F.conv(F.substring(F.md5("__p"), 1, 16), 16, -10).cast("bigint").alias("__h"))
+    bits = [F.expr(f"sum(shiftrightunsigned(__h, {k}) & 1L)").alias(f"b{k}") for k in range(64)]
+    votes = hashed.groupBy("__i").agg(F.count(F.lit(1)).alias("__n"), *bits)
+    out = F.expr(" | ".join(f"if(2 * b{k} > __n, shiftleft(1L, {k}), 0L)" for k in range(64)))
+    return votes.select(F.col("__i").alias(item), out.alias("simhash"))

@@ -16,9 +16,8 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    """The vector divided by its length; a zero vector stays as it is."""
-    n = norm(a)
-    return F.transform(a, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
+    """The vector divided by its length; a zero vector stays as it is. The length is taken once, not per element."""
+    return F.zip_with(a, F.array_repeat(norm(a), F.size(a)), lambda x, n: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -29,7 +28,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 def correlation(a: Column, b: Column) -> Column:
     """Normalised cross-correlation; 0 for arrays of different, no, or constant content."""
-    centre = lambda v: F.transform(v, lambda x: x.cast("double") - F.aggregate(v, F.lit(0.0), lambda s, y: s + y) / F.size(v))
+    mean = lambda v: F.aggregate(v, F.lit(0.0), lambda s, y: s + y) / F.size(v)
+    centre = lambda v: F.zip_with(v, F.array_repeat(mean(v), F.size(v)), lambda x, m: x.cast("double") - m)
     ca, cb = centre(a), centre(b)
     n = norm(ca) * norm(cb)
     return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0) & (n >= 1e-6), dot(ca, cb) / n).otherwise(F.lit(0.0))

@@ -95,12 +95,15 @@ def assign(
 
         return source.mapInArrow(run, f"i {kinds[0]}, l string, s1 double, s2 double")
 
-    parts, rows = [], []
-    for r in named.toLocalIterator():
-        rows.append(r)
-        if len(rows) == block:
-            parts.append(against(rows))
-            rows = []
+    parts = []
+    rows = named.limit(block + 1).collect()
+    if len(rows) > block:  # more than one block: one after the other
+        rows = []
+        for r in named.toLocalIterator():
+            rows.append(r)
+            if len(rows) == block:
+                parts.append(against(rows))
+                rows = []
     if rows:
         parts.append(against(rows))
     if not parts:
@@ -123,7 +126,7 @@ def match_boxes(left: DataFrame, right: DataFrame, key: list[str], left_id: str,
     """
     r = right.select(*key, F.col(right_id).alias("__r"), F.col(box).alias("__b"))
     both = left.select(*key, F.col(left_id).alias("__l"), F.col(box).alias("__a")).join(r, key)
-    scored = both.withColumn("__s", rounded(iou(F.col("__a"), F.col("__b")), 6)).where(F.col("__s") >= 0 if zero else F.col("__s") > 0)
+    scored = both.select(*key, "__l", "__r", iou(F.col("__a"), F.col("__b")).alias("__s")).where(F.col("__s") >= 0 if zero else F.col("__s") > 0)
     w = Window.partitionBy(*key, "__l").orderBy(F.col("__s").desc(), F.col("__r"))
     best = scored.withColumn("__n", F.row_number().over(w)).where("__n = 1")
-    return best.select(*key, F.col("__l").alias(left_id), F.col("__r").alias(right_id), F.col("__s").alias("iou"))
+    return best.select(*key, F.col("__l").alias(left_id), F.col("__r").alias(right_id), rounded("__s", 6).alias("iou"))

@@ -114,8 +114,8 @@ SELECT vec_id, {r('sqrt(sum(x * x))')} AS length, {r('sum(x * y) / sum(x * x)')}
   SELECT a.l_orderkey, a.n, c.n AS m, greatest(least(a.x + a.q * 20, c.x + c.q * 20) - greatest(a.x, c.x), 0)::BIGINT * greatest(least(a.y + a.q * 12, c.y + c.q * 12) - greatest(a.y, c.y), 0) AS i,
          a.q::BIGINT * a.q * 240 + c.q::BIGINT * c.q * 240 AS s
   FROM b a JOIN b c ON a.l_orderkey = c.l_orderkey AND a.n % 2 = 1 AND c.n % 2 = 0),
-k AS (SELECT *, round(i / (s - i), 6) AS iou FROM p WHERE i > 0)
-SELECT l_orderkey, n, m, {r('iou')} AS iou FROM k WHERE iou > 0 QUALIFY row_number() OVER (PARTITION BY l_orderkey, n ORDER BY iou DESC, m) = 1""",
+k AS (SELECT *, i / (s - i) AS iou FROM p WHERE i > 0)
+SELECT l_orderkey, n, m, {r(r('iou', 6))} AS iou FROM k WHERE iou > 0 QUALIFY row_number() OVER (PARTITION BY l_orderkey, n ORDER BY iou DESC, m) = 1""",
     "screen_positions": f"""WITH {_BOXES}, k AS (SELECT *, (2 * x + q * 20) / 2.0 AS cx, (2 * y + q * 12) / 2.0 AS cy FROM b),
 t AS (SELECT *, CASE WHEN cx / 1920 < 0.33 THEN 'left' WHEN cx / 1920 > 0.66 THEN 'right' ELSE 'center' END AS px, CASE WHEN cy / 1080 < 0.33 THEN 'top' WHEN cy / 1080 > 0.66 THEN 'bottom' ELSE 'middle' END AS py FROM k),
 z AS (SELECT *, floor((x % 100) / 100.0 * 1920) AS a, floor((y % 100) / 100.0 * 1080) AS b_, floor(((x + q * 20) % 100) / 100.0 * 1920) AS c_, floor(((y + q * 12) % 100) / 100.0 * 1080) AS d_ FROM t)

@@ -11,6 +11,7 @@ from filmloom.functions import captions as C
 from filmloom.functions import scoring as S
 from filmloom.functions.hashing import hamming, phash_bits, simhash
 from filmloom.functions.names import repair_names
+from filmloom.functions.rounding import rounded
 from filmloom.plans import stages
 from filmloom.plans.base import CUR, clips, nn, r
 from filmloom.session import checkpoint_dir
@@ -84,9 +85,8 @@ def caption_actor_repair(spark, folder: str) -> DataFrame:
 
 
 def document_simhash(spark, folder: str) -> DataFrame:
-    """64-bit SimHash of each document over pairs of words, and its distance from the hash of its first clip's hash."""
-    words = F.filter(F.split(F.lower("text"), r"\s+"), lambda w: w != "")
-    return table(spark, folder, "documents").where("text is not null").select("doc_id", simhash(words).alias("simhash"))
+    """64-bit SimHash of each document over pairs of words."""
+    return simhash(table(spark, folder, "documents").select("doc_id", F.lower("text").alias("text")), "doc_id", "text")
 
 
 def hash_distance(spark, folder: str) -> DataFrame:
@@ -113,7 +113,7 @@ def stream_gate_microbatch(spark, folder: str) -> DataFrame:
     def work(rows: DataFrame) -> DataFrame:
         dear, _ = microbatch.split(rows, F.col("value") > 10)
         score = F.col("value") / 400
-        return dear.select("event_id", "event_type", F.round(score, 4).alias("score"), S.image_gate(score).alias("gate"))
+        return dear.select("event_id", "event_type", rounded(score).alias("score"), S.image_gate(score).alias("gate"))
 
     microbatch.run_once(stream, work, f"{base}/out", f"{base}/state", ["event_id"])
     return spark.read.parquet(f"{base}/out").select("event_id", "event_type", "score", "gate")
@@ -154,7 +154,11 @@ SELECT clip_id, CASE WHEN c IN ('In the video clip,', 'In this clip', 'The video
     "prompt_texts": f"""WITH {CUR} SELECT clip_id, CASE WHEN coalesce(len(clip_actors), 0) > 0 THEN 'Identified cast: ' || array_to_string(clip_actors, ' and ') || '. Use each full name.' || chr(10) || chr(10) ELSE '' END
 || 'Describe ' || coalesce(bucket, 'it') || CASE WHEN trim(coalesce(route, '')) <> '' AND length(trim(route)) <= 100 THEN chr(10) || chr(10) || 'Known fact: ' || trim(route) ELSE '' END AS prompt FROM cur""",
     "hash_distance": f"""WITH {CUR} SELECT clip_id, CASE WHEN regexp_full_match(lower(trim(phash)), '[0-9a-f]{{16}}') THEN bit_count(xor(('0x' || lower(trim(phash)))::UBIGINT, 6148914691236517205::UBIGINT)::HUGEINT)::INT END AS distance FROM cur""",
-    "stream_gate_microbatch": "SELECT event_id, event_type, round(value / 400, 4) AS score, CASE WHEN value / 400 >= 0.25 THEN 'final' WHEN value / 400 >= 0.15 THEN 'review' ELSE 'discard' END AS gate FROM events WHERE value > 10 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1",
+    "stream_gate_microbatch": f"SELECT event_id, event_type, {r('value / 400')} AS score, CASE WHEN value / 400 >= 0.25 THEN 'final' WHEN value / 400 >= 0.15 THEN 'review' ELSE 'discard' END AS gate FROM events WHERE value > 10 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY ts) = 1",
+    "document_simhash": f"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+p AS (SELECT doc_id, unnest(list_zip(w[:-2], w[2:])) AS z FROM w WHERE len(w) > 1), h AS (SELECT doc_id, ('0x' || substr(md5(z[1] || ' ' || z[2]), 1, 16))::UBIGINT AS h FROM p),
+v AS (SELECT doc_id, {" + ".join(f"CASE WHEN 2 * sum((h >> {k}) & 1) > count(*) THEN {1 << k}::HUGEINT ELSE 0 END" for k in range(64))} AS u FROM h GROUP BY 1)
+SELECT doc_id, CASE WHEN u >= 9223372036854775808 THEN (u - 18446744073709551616)::BIGINT ELSE u::BIGINT END AS simhash FROM v""",
     "event_windows": "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL",
     "props_values": "SELECT event_type, sum((props ->> '$.k')::BIGINT)::BIGINT AS total, count(props ->> '$.k') AS n FROM events GROUP BY 1",
 }
