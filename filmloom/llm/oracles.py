@@ -73,3 +73,38 @@ cuts AS (SELECT movie, n, (n * keep_pct + 99) // 100 AS target, score AS cutoff
 SQL["p7_found"] = f"{_CUTOFFS} SELECT clip_id FROM scored JOIN cuts USING (movie) WHERE score >= cutoff"
 SQL["p7_cutoffs"] = f"""{_CUTOFFS}
 SELECT movie AS video_id, cuts.n, target, cutoff, count(*) AS kept FROM scored JOIN cuts USING (movie) WHERE score >= cutoff GROUP BY ALL"""
+
+SQL["p4_ranking"] = SQL["p4_found"].split("runs AS")[0].rstrip().rstrip(",") + " SELECT batch_id, clip_id, p AS points, place FROM placed"
+
+SQL["p5_found"] = f"""
+WITH {_CURRENT},
+texts AS (SELECT clip_id, unnest(['caption', 'generated_caption']) AS field, unnest([caption, generated_caption]) AS t FROM cur),
+words AS (SELECT clip_id, field, regexp_extract_all(lower(t), '[\\p{{L}}\\p{{M}}]+') AS w FROM texts WHERE t IS NOT NULL),
+grams AS (
+  SELECT clip_id, field, i, len(w) AS n, array_to_string(w[i + 1 : i + 5], ' ') AS g
+  FROM (SELECT *, unnest(range(len(w) - 4)) AS i FROM words WHERE len(w) > 4)
+),
+again AS (SELECT * FROM grams QUALIFY i > min(i) OVER (PARTITION BY clip_id, field, g)),
+covered AS (SELECT DISTINCT clip_id, field, n, i + k AS at FROM (SELECT *, unnest([0, 1, 2, 3, 4]) AS k FROM again))
+SELECT clip_id, field FROM covered GROUP BY clip_id, field, n HAVING count(*) >= 0.4 * n"""
+
+
+def _plain(x: str) -> str:
+    """Text without tags, entities, invisible characters, hyphens at line ends and time codes at line starts."""
+    x = f"regexp_replace({x}, '</?[A-Za-z][^<>]*>', '', 'g')"
+    for a, b in (("&nbsp;", " "), ("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "’")):
+        x = f"replace({x}, '{a}', '{b}')"
+    x = f"regexp_replace({x}, '[\\x{{00AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g')"
+    x = f"regexp_replace({x}, '[-\\x{{2010}}][ ]*\\n[ ]*', '', 'g')"
+    x = f"regexp_replace({x}, '(^|\\n)[ ]*[0-9]+:[0-9]+:[0-9]+', '\\1', 'g')"
+    return f"regexp_extract_all(lower({x}), '[\\p{{L}}\\p{{N}}\\p{{M}}]+')"
+
+
+_LEAKS = f"""
+docs AS (SELECT doc_id, {_plain('text')} AS w FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
+items AS (SELECT item_id, {_plain('text')} AS w FROM eval_items WHERE text IS NOT NULL AND item_id IS NOT NULL),
+dg AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 12], ' ') AS g FROM (SELECT *, unnest(range(len(w) - 11)) AS i FROM docs WHERE len(w) > 11)),
+ig AS (SELECT DISTINCT item_id, array_to_string(w[i + 1 : i + 12], ' ') AS g FROM (SELECT *, unnest(range(len(w) - 11)) AS i FROM items WHERE len(w) > 11)),
+leaks AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))"""
+SQL["p9_found"] = f"WITH {_LEAKS} SELECT doc_id, item_id FROM leaks"
+SQL["p9_items"] = f"WITH {_LEAKS} SELECT item_id, count(*) AS documents FROM leaks GROUP BY 1"
