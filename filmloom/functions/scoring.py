@@ -206,7 +206,7 @@ def route(raw: Column) -> Column:
     return F.when(clip_bucket(raw).isin(V.PEOPLE_BUCKETS), "people").otherwise("other")
 
 
-def caption_choice(caption: Column, description: Column, source: Column, bucket: Column, name: Column, permille: int = 150, markers: tuple[str, ...] = ("triveni", "drishtikon")) -> Column:
+def caption_choice(caption: Column, description: Column, source: Column, bucket: Column, name: Column, markers: tuple[str, ...], permille: int = 150) -> Column:
     """Struct (caption, caption_source): for a fixed share of the files of marked sources their own description is taken."""
     marked = F.lit(False)
     for m in markers:

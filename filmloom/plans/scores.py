@@ -107,7 +107,7 @@ _FUSED = (
 def standin_scores(spark, folder: str) -> DataFrame:
     """Deterministic stand-ins of the models, and the older fusion of them."""
     rows = clips(spark, folder, "bucket", "bucket_confidence", "reject", "source_video", "caption")
-    text = F.coalesce(F.nullif(F.col("caption"), F.lit("")), F.lit("Indic cultural scene"))
+    text = F.coalesce(F.nullif(F.col("caption"), F.lit("")), F.lit("untitled scene"))
     d = S.standin_dover(F.col("source_video"))
     out = rows.select("clip_id", rounded(S.standin_clip(text)).alias("clip"), rounded(S.standin_icr(F.col("bucket"), F.col("bucket_confidence"), F.col("reject"))).alias("icr"), rounded(S.standin_aod(F.col("clip_id"))).alias("aod"), rounded(d["overall"]).alias("dover"))
     return out.withColumn("final", S.first_final_score(F.col("clip"), F.col("icr"), F.col("aod")))
@@ -196,7 +196,7 @@ def classify_json_normalise(spark, folder: str) -> DataFrame:
 
 def caption_mix_md5(spark, folder: str) -> DataFrame:
     rows = clips(spark, folder, "caption", "generated_caption", "source_video", "bucket")
-    c = S.caption_choice(F.col("caption"), F.col("generated_caption"), F.lit("triveni_archive"), F.col("bucket"), F.col("clip_id"))
+    c = S.caption_choice(F.col("caption"), F.col("generated_caption"), F.lit("Film_Archive"), F.col("bucket"), F.col("clip_id"), ("archive", "library"))
     return rows.select("clip_id", c.alias("c")).select("clip_id", "c.caption", "c.caption_source")
 
 
@@ -280,7 +280,7 @@ SELECT *, reason IS NULL AS passed FROM w""",
     "final_score_fusion": f"WITH {CUR} SELECT clip_id, CASE WHEN coalesce(keep, true) THEN {r(_FUSED)} ELSE 0.0 END AS fused FROM cur",
     "standin_scores": f"""WITH {CUR},
 k AS (
-  SELECT clip_id, {r("0.55 + " + md5_mod("coalesce(nullif(caption, ''), 'Indic cultural scene')", 40) + " / 100.0")} AS clip,
+  SELECT clip_id, {r("0.55 + " + md5_mod("coalesce(nullif(caption, ''), 'untitled scene')", 40) + " / 100.0")} AS clip,
          {r("CASE WHEN coalesce(reject, false) THEN 0.1 ELSE least(1.0, 0.5 + " + md5_mod("coalesce(bucket, '')", 35) + " / 100.0 + coalesce(bucket_confidence, 0) * 0.2) END")} AS icr,
          {r("0.45 + " + md5_mod("clip_id", 40) + " / 100.0")} AS aod,
          {r(f"0.7 * (0.45 + ({_BASE8} % 35) / 100.0) + 0.3 * (0.50 + (({_BASE8} >> 8) % 30) / 100.0)")} AS dover
