@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
-import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -20,6 +21,8 @@ from filmloom.sources.tables import table
 
 #: Near-copies: words of a shingle, similarity, and bands of minima (recall 0.995 at that similarity).
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 10, 4
+#: Open texts and partners of a band that meet in one block.
+ASKED, PARTNERS = 512, 1024
 #: Longest run of closing words whose terminality is looked up, and occurrences it needs.
 CLOSING, SEEN = 5, 3
 #: Share of a closing's occurrences that must end a sentence: a cut seldom falls exactly behind words that can end one.
@@ -28,7 +31,6 @@ TERMINAL = 0.05
 STYLE = 0.5
 #: Bits of the two filters that tell which n-grams and bands anybody asks for: 512 KB each, whatever the input.
 _BITS = 22
-_STEP = math.log(1.12)
 
 _FENCE = re.compile(r"^```\w*\s*")
 _MARK = re.compile(r"""(?:…|\.{2,}|\[\s*(?:…|\.{2,})\s*\]|�+)[\s"”’»')\]]*$""")
@@ -252,10 +254,10 @@ def _filter_of(hashes: DataFrame, column: str) -> np.ndarray:
 def _survey(df: DataFrame, fields: list[str], grams: np.ndarray, bands: np.ndarray) -> DataFrame:
     """What the corpus of all values knows about the open ends.
 
-    Rows with ``words`` null: partial counts of an n-gram that somebody asks for,
+    Rows with ``text`` null: partial counts of an n-gram that somebody asks for,
     followed by a word (``goes``), by the end of a sentence (``ends``) or by
     a mark of omission at the end of the text (``marked``).  Other rows: a text
-    with a proper end that falls into a band of an open one.
+    with a proper end that falls into a band of an open one, and all its bands.
     """
     sc = df.sparkSession.sparkContext
     shared = sc.broadcast((np.packbits(grams), np.packbits(bands)))  # 2 x 512 KB
@@ -286,54 +288,106 @@ def _survey(df: DataFrame, fields: list[str], grams: np.ndarray, bands: np.ndarr
                 key, of = np.concatenate(keys), np.concatenate(kinds)
                 distinct, which = np.unique(key, return_inverse=True)
                 sums = [np.bincount(which[of == k], minlength=len(distinct)) for k in range(3)]
-                none = pa.nulls(len(distinct))
-                yield _batch(_signed(distinct), sums, none.cast(pa.int64()), none.cast(pa.string()))
+                none = [None] * len(distinct)
+                yield _batch(_signed(distinct), sums, none, none)
                 doc, rows = c.bands()
-                row, band = np.nonzero(near[(rows >> shift).astype(np.int64)] & (state[doc] == WHOLE)[:, None])
-                zero = [np.zeros(len(row), np.int64)] * 3
-                yield _batch(_signed(rows[row, band]), zero, pa.array(c.count[doc[row]]), pa.array([texts[d] for d in doc[row]], pa.string()))
+                row = np.flatnonzero(near[(rows >> shift).astype(np.int64)].any(axis=1) & (state[doc] == WHOLE))
+                mine = [texts[d] for d in doc[row]]
+                yield _batch(np.array([text_id(t) for t in mine], np.int64), [np.zeros(len(row), np.int64)] * 3, mine, _signed(rows[row]).tolist())
 
-    return df.select(*fields).mapInArrow(run, "key bigint, goes bigint, ends bigint, marked bigint, words bigint, text string")
+    return df.select(*fields).mapInArrow(run, "key bigint, goes bigint, ends bigint, marked bigint, text string, bands array<bigint>")
 
 
-def _batch(key: np.ndarray, sums: list[np.ndarray], words: pa.Array, text: pa.Array) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(s) for s in sums], words, text], names=["key", "goes", "ends", "marked", "words", "text"])
+def _batch(key: np.ndarray, sums: list[np.ndarray], text: list, bands: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(key), *[pa.array(s) for s in sums], pa.array(text, pa.string()), pa.array(bands, pa.list_(pa.int64()))], names=["key", "goes", "ends", "marked", "text", "bands"])
 
 
 _WORD = re.compile(r"[^\W_]+(?:[ऀ-ःऺ-ॏ॑-ॗॢॣ̀-ͯ]+[^\W_]*)*")
 
 
-def align(short: str, long: str) -> str | None:
-    """Whether ``short`` is a verified near-copy of ``long`` that ends early (CUT) or where it ends too (WHOLE); None where it is neither.
+class _Parsed(NamedTuple):
+    words: list[str]
+    spots: list[tuple[int, int]]
+    shingles: set[tuple[str, ...]]
+
+
+@lru_cache(maxsize=4096)
+def _parsed(text: str) -> _Parsed:
+    found = list(_WORD.finditer(text))
+    w = [m.group().lower() for m in found]
+    return _Parsed(w, [m.span() for m in found], {tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)})
+
+
+def _compare(short: str, long: str) -> tuple[float, float, bool] | None:
+    """How much of ``short`` stands in ``long``, their similarity, and whether ``short`` ends early; None where ``long`` is no near-copy that tells.
 
     Words are aligned by the closing run of the short text: where that
     stands in the other one nearest to the same place, the next word tells.
     """
-    a, b = [[m.group().lower() for m in _WORD.finditer(t)] for t in (short, long)]
-    sets = [{tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)} for w in (a, b)]
-    if not sets[0] or len(sets[0] & sets[1]) < SIMILARITY * len(sets[0] | sets[1]):
+    x, y = _parsed(short), _parsed(long)
+    if not x.shingles or min(len(x.shingles), len(y.shingles)) < SIMILARITY * max(len(x.shingles), len(y.shingles)):
+        return None
+    both = len(x.shingles & y.shingles)
+    union = len(x.shingles) + len(y.shingles) - both
+    if both < SIMILARITY * union:
         return None
-    spots = list(_WORD.finditer(long))
+    a, b = x.words, y.words
     for drop in (0, 1):  # the last word may be a part of one
         tail = a[len(a) - drop - 3 : len(a) - drop]
         at = [i for i in range(len(b) - 2) if b[i : i + 3] == tail]
         if at:
             i = min(at, key=lambda i: abs(i - (len(a) - drop - 3))) + 3
             if drop:
-                return CUT if i < len(b) and b[i].startswith(a[-1]) and b[i] != a[-1] else None
-            if i >= len(b):
-                return WHOLE
-            return WHOLE if re.search(r"[.!?।॥;]", long[spots[i - 1].end() : spots[i].start()]) else CUT
+                cut = i < len(b) and b[i].startswith(a[-1]) and b[i] != a[-1]
+                if not cut:
+                    return None
+            else:
+                cut = i < len(b) and not re.search(r"[.!?।॥;]", long[y.spots[i - 1][1] : y.spots[i][0]])
+            return both / len(x.shingles), both / union, cut
     return None
 
 
-def _verify(pairs: DataFrame) -> DataFrame:
+def align(short: str, long: str) -> str | None:
+    """Whether ``short`` is a verified near-copy of ``long`` that ends early (CUT) or where it ends too (WHOLE); None where it is neither."""
+    told = _compare(short, long)
+    return None if told is None else CUT if told[2] else WHOLE
+
+
+def _verify(bands: DataFrame, members: DataFrame) -> DataFrame:
+    """(id, verdict) of the open texts that have a near-copy: what the one that holds most of the text tells.
+
+    ``bands``: (id, text, bands, key); ``members``: (id, text, bands), one row a text.  Every open text of a band
+    meets every member of it; a band with many of either is dealt into blocks, each meeting each on its own.
+    """
+    members = members.withColumn("key", F.explode("bands"))
+    count = lambda rows, block, name: rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+    blocks = materialise(count(bands, ASKED, "asks").join(count(members, PARTNERS, "parts"), "key"))
+    mine = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["key", "ask", "part", "side", "id", "text", "bands"]
+    asked = bands.join(blocks, "key").withColumns({"side": F.lit(0), "ask": mine("asks"), "part": every("parts")})
+    partners = members.join(blocks, "key").withColumns({"side": F.lit(1), "part": mine("parts"), "ask": every("asks")})
+    met = asked.select(*columns).unionByName(partners.select(*columns)).repartition("key", "ask", "part").sortWithinPartitions("key", "ask", "part", "side")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group = None
+        waiting: list[tuple[int, str, list[int]]] = []
         for b in batches:
-            verdict = [align(x, y) for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(verdict, pa.string())], names=["id", "verdict"])
-
-    return pairs.mapInArrow(run, "id bigint, verdict string")
+            best: dict[int, tuple[float, float, bool]] = {}
+            for key, ask, part, side, i, text, own in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if group != (key, ask, part):
+                    group, waiting = (key, ask, part), []
+                if side == 0:
+                    waiting.append((i, text, own))
+                    continue
+                for j, short, other in waiting:
+                    # A pair is compared in the first band it shares.
+                    if next(x for x, y in zip(own, other, strict=True) if x == y) == key and (told := _compare(short, text)):
+                        best[j] = max(best.get(j, told), told)
+            yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), *[pa.array([t[k] for t in best.values()], kind) for k, kind in enumerate((pa.float64(), pa.float64(), pa.bool_()))]], names=["id", "held", "alike", "cut"])
+
+    told = met.mapInArrow(run, "id bigint, held double, alike double, cut boolean")
+    return told.groupBy("id").agg(F.max(F.struct("held", "alike", "cut")).alias("m")).select("id", F.when(F.col("m.cut"), CUT).otherwise(WHOLE).alias("verdict"))
 
 
 def _judge(open_texts: DataFrame, corpus: DataFrame, fields: list[str]) -> DataFrame:
@@ -341,18 +395,15 @@ def _judge(open_texts: DataFrame, corpus: DataFrame, fields: list[str]) -> DataF
     # Copies of a text count once; the id stands for the text.
     described = materialise(_describe(open_texts.groupBy("id").agg(F.max("text").alias("text"), F.max("marked").alias("marked"))))
     keys = described.select("id", "marked", F.posexplode("keys").alias("slot", "key")).where("key <> 0")
-    bands = described.select("id", "text", "words", F.explode("bands").alias("key"))
+    bands = described.select("id", "text", "bands", F.explode("bands").alias("key"))
     seen = materialise(_survey(corpus, fields, _filter_of(keys, "key"), _filter_of(bands, "key")))
 
-    # Near-copies: of every band and length class the longest whole text stands for the class; all open texts of the band meet it.
-    length = F.floor(F.log("words") / _STEP).cast("int")
-    longest = seen.where("words is not null").groupBy("key", length.alias("class")).agg(F.max(F.struct("words", "text")).alias("m")).select("key", "class", F.col("m.text").alias("other"))
-    asked = bands.withColumn("class", F.explode(F.sequence(length, length + 2)))
-    pairs = asked.join(longest, ["key", "class"]).select("id", "text", "other").distinct()
-    aligned = _verify(pairs).where("verdict is not null").groupBy("id").agg(F.min("verdict").alias("verdict"))  # CUT before WHOLE
+    # Near-copies: every distinct whole text of a band meets all open texts of it.
+    members = seen.where("text is not null").groupBy(F.col("key").alias("id")).agg(F.max(F.struct("text", "bands")).alias("m")).select("id", "m.*")
+    aligned = _verify(bands, members)
 
     # Terminality of the closing words, for texts without a near-copy that tells.
-    counts = seen.where("words is null").groupBy("key").agg(F.sum("goes").alias("goes"), F.sum("ends").alias("ends"), F.sum("marked").alias("marks"))
+    counts = seen.where("text is null").groupBy("key").agg(F.sum("goes").alias("goes"), F.sum("ends").alias("ends"), F.sum("marked").alias("marks"))
     found = keys.join(counts, "key").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("slot", F.struct("goes", "ends", "marks")))).alias("k"))
     pick = None
     for n in range(1, CLOSING + 1):

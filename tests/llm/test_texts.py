@@ -248,6 +248,24 @@ def test_truncated(spark):
     assert truncation.truncated(df.limit(0), truncation.FIELDS, "clip_id", "processed_at").count() == 0
 
 
+def test_every_member_of_a_band_is_a_partner(spark, monkeypatch):
+    """Near-copies that differ in one slot: each cut text has only its own source, which is not the longest of its band."""
+    rng = random.Random(3)
+    base = ["".join(rng.choice("abcdefghij") for _ in range(7)) for _ in range(60)]
+    whole = [" ".join(base[:30] + [f"slot{i:03d}"] + base[31:]) + "." for i in range(100)]
+    cut = [" ".join(t.split()[:54]) for t in whole]
+    ends = [f"{rng.random()} {rng.random()} {rng.random()} " + " ".join(base[49:54]) + "." for _ in range(20)]  # the closing words can end a sentence
+    rows = [(f"w{i}", 1, t, None) for i, t in enumerate(whole + ends)] + [(f"c{i}", 1, t, None) for i, t in enumerate(cut)]
+    df = spark.createDataFrame(rows, "clip_id string, processed_at int, generated_caption string, caption_struct string")
+    want = {(f"c{i}", "generated_caption") for i in range(100)}
+    for blocks in ((512, 1024), (7, 9)):
+        monkeypatch.setattr(truncation, "ASKED", blocks[0])
+        monkeypatch.setattr(truncation, "PARTNERS", blocks[1])
+        assert {tuple(r) for r in truncation.truncated(df, truncation.FIELDS, "clip_id", "processed_at").collect()} == want
+    twin = spark.createDataFrame([("a", 1, whole[0][:-1], None), ("b", 1, whole[0], None), ("c", 1, whole[0][:-1] + " and goes.", None)], df.schema)
+    assert truncation.truncated(twin, truncation.FIELDS, "clip_id", "processed_at").count() == 0  # the closest copy tells
+
+
 # Reading level
 
 
