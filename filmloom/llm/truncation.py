@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 import json
 import re
 from collections.abc import Iterator
@@ -71,6 +72,26 @@ def _leaves(x: object) -> Iterator[str]:
             yield from _leaves(v)
 
 
+#: The last member is a key without a value, a part of a key, a part of a literal, or a mark of omission.
+_STOPPED = re.compile(r"""(?:[{,]\s*"(?:[^"\\]|\\.)*"\s*(?::\s*(?:…|\.{2,}|t|tr|tru|f|fa|fal|fals|n|nu|nul|-|-?\d+\.)?\s*)?|,\s*(?:…|\.{2,})\s*)\}[\s}\]]*(?:```\s*)?$""")
+#: Behind the end of a string: a member or an item may follow, or the structure ends.
+_CLOSES = re.compile(r'''"(?=\s*(?:[}\]]|:|,?\s*"(?:[^"\\]|\\.)*"\s*:|,\s*(?:["{\[\d-]|true|false|null)|,?\s*$))''')
+_OPENS = re.compile(r'(?<=[:,{\[])\s*"')
+
+
+def _strings(body: str) -> list[str]:
+    """Strings of JSON that does not parse, without its keys; quotation marks inside a string do not end it."""
+    out, at = [], 0
+    while begin := _OPENS.search(body, at):
+        end = _CLOSES.search(body, begin.end())
+        if not end:
+            break
+        if not body[end.end() :].lstrip().startswith(":"):
+            out.append(re.sub(r"\\(.)", lambda m: {"n": "\n", "t": "\t"}.get(m[1], m[1]), body[begin.end() : end.start()]))
+        at = end.end()
+    return out
+
+
 def prose(value: str, depth: int = 0) -> list[str] | None:
     """Texts in running words that a value holds; None where its JSON structure ends too early."""
     s = value.strip()
@@ -84,7 +105,13 @@ def prose(value: str, depth: int = 0) -> list[str] | None:
     try:
         found, _ = json.JSONDecoder(strict=False).raw_decode(body)
     except (ValueError, RecursionError):
-        return None if _open_structure(body) else []
+        if _open_structure(body) or _STOPPED.search(body):
+            return None
+        try:
+            found = ast.literal_eval(body)
+        except (ValueError, SyntaxError, RecursionError, MemoryError):
+            # Not JSON at all, but prose that begins with a bracket, where it holds no string.
+            found = _strings(body) if '"' in body else [value]
     out: list[str] = []
     for leaf in _leaves(found):
         inner = prose(leaf, depth + 1) if depth < 4 else [leaf]

@@ -248,6 +248,19 @@ def test_truncated(spark):
     assert truncation.truncated(df.limit(0), truncation.FIELDS, "clip_id", "processed_at").count() == 0
 
 
+def test_damaged_structures():
+    head = '{"short_description": "A man walks home. He sits.", "setting": "the jetty", '
+    for tail in ('"ca..."}', '"camera": }', '"camera"}', '"camera": ...}', '...}', '"a": {"b": "x", "c…"}}', '"ca..."}\n```'):
+        assert truncation.prose(head + tail) is None
+        assert truncation.prose("```json\n" + head + tail) is None
+    text = "A man walks home and then slowly sits down by the"
+    for damaged in (f'{{"a": "{text}", "b": "calm",}}', f'{{"a": "calm" "b": "{text}"}}', f"{{'a': '{text}', 'b': None}}", f'["calm", "{text}",]', f'{{"a": "{text}", "b": None}}'):
+        assert truncation.prose(damaged) == [text]
+    said = 'A sign that reads "OPEN" hangs over the old mill door.'
+    assert truncation.prose(f'{{"a": "{said}", "mood": "calm"}}') == [said]
+    assert truncation.prose("[soft music] A man walks into the") == ["[soft music] A man walks into the"]
+
+
 def test_every_member_of_a_band_is_a_partner(spark, monkeypatch):
     """Near-copies that differ in one slot: each cut text has only its own source, which is not the longest of its band."""
     rng = random.Random(3)
