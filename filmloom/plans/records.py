@@ -94,7 +94,7 @@ _STEPS = ["click", "view", "purchase", "signup", "scroll"]
 
 
 def _steps(spark, folder: str) -> list[str]:
-    return sorted(x[0] for x in table(spark, folder, "events").select("event_type").distinct().limit(50).collect())
+    return sorted(x[0] for x in table(spark, folder, "events").select("event_type").distinct().collect())
 
 
 def runtime_summary_pivot(spark, folder: str) -> DataFrame:

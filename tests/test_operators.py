@@ -229,3 +229,12 @@ def test_image_measures(spark):
     rows = [(bytearray([10, 20, 30, 40]), 2, 2), (bytearray([1, 2, 3]), 2, 2), (None, 2, 2)]
     got = one(spark, X.image_measures(F.col("p"), F.col("h"), F.col("w")), *rows, schema="p binary, h int, w int")
     assert got[0].brightness == 25.0 and got[1].brightness is None and got[2].brightness is None
+
+
+def test_pivot_of_many_steps(spark, tmp_path):
+    from filmloom.plans import records
+
+    rows = [(u, f"step {i:02d}", 1.5) for u in (1, 2) for i in range(60)]
+    spark.createDataFrame(rows, "user_id bigint, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
+    got = records.runtime_summary_pivot(spark, str(tmp_path)).collect()
+    assert len(got) == 120 and {r.total for r in got} == {90.0} and {r.seconds for r in got} == {1.5}
