@@ -138,6 +138,13 @@ def dup_greedy_keep(spark, folder: str) -> DataFrame:
     return D.greedy_keep(rows, ["video_id"], "clip_id", "bits", ["timestamp_start", "clip_id"], 8)
 
 
+def dup_cross_source(spark, folder: str) -> DataFrame:
+    """Near duplicates across all movies, six bits apart, among the clips that removal within each movie keeps."""
+    rows = clips(spark, folder, "video_id", "phash", "timestamp_start").withColumn("bits", phash_bits(F.col("phash")))
+    kept = dup_greedy_keep(spark, folder).where("keep").select("clip_id")
+    return D.greedy_keep(rows.join(kept, "clip_id", "left_semi"), [], "clip_id", "bits", ["video_id", "timestamp_start", "clip_id"], 6)
+
+
 def dup_content(spark, folder: str) -> DataFrame:
     """The first document of every text."""
     rows = table(spark, folder, "documents").where("text is not null").select("doc_id", "text", "source")
@@ -312,7 +319,7 @@ def crop_boxes(spark, folder: str) -> DataFrame:
 
 _ALL = [
     manifest_source_join, prompt_lookup_fallback, verify_defaults, done_skip_antijoin, status_pending, rejected_union, cast_semi_join, movie_by_name, clip_locations, runtime_summary_pivot, runtime_upsert, actor_name_hits,
-    dup_exact_first_seen, dup_near_pairs, dup_greedy_keep, dup_content, actors_in_order, scene_merge, scene_gaps, scene_boundaries, clip_tiling, chunk_bounds, frame_tasks, timecodes_read, motion_steps,
+    dup_exact_first_seen, dup_near_pairs, dup_greedy_keep, dup_cross_source, dup_content, actors_in_order, scene_merge, scene_gaps, scene_boundaries, clip_tiling, chunk_bounds, frame_tasks, timecodes_read, motion_steps,
     frame_vote, common_verdict, corner_vote, batch_numbers, worker_split, top_captions, clip_browser_page, bucket_order, seeded_sample, ids_lookup, export_captions, export_partition_index, export_names, crop_boxes,
 ]
 QUERIES = {f.__name__: f for f in _ALL}

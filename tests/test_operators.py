@@ -238,3 +238,13 @@ def test_pivot_of_many_steps(spark, tmp_path):
     spark.createDataFrame(rows, "user_id bigint, event_type string, value double").write.parquet(str(tmp_path / "events.parquet"))
     got = records.runtime_summary_pivot(spark, str(tmp_path)).collect()
     assert len(got) == 120 and {r.total for r in got} == {90.0} and {r.seconds for r in got} == {1.5}
+
+
+def test_duplicates_across_movies(spark, monkeypatch):
+    from filmloom.plans import records
+
+    rows = [("a", "a1", "00000000000000ff", 0.0), ("a", "a2", "00000000000000fe", 1.0), ("b", "b1", "00000000000000f0", 0.0), ("b", "b2", "ffffffff00000000", 1.0), ("c", "c1", "0000000000007fff", 0.0), ("c", "c2", None, 1.0)]
+    df = spark.createDataFrame(rows, "video_id string, clip_id string, phash string, timestamp_start double")
+    monkeypatch.setattr(records, "clips", lambda spark, folder, *columns: df)
+    got = {r.clip_id: (r.keep, r.dup_of) for r in records.dup_cross_source(spark, "").collect()}
+    assert got == {"a1": (True, None), "b1": (False, "a1"), "b2": (True, None), "c1": (True, None), "c2": (True, None)}
