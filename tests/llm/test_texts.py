@@ -168,7 +168,61 @@ def test_leaks_against_brute_force(seed):
 def test_blocks_of_items(spark):
     e = spark.createDataFrame([(k, ITEM + f" {k}") for k in range(6)], "item_id bigint, text string")
     parts = list(leakage.blocks(e, "item_id", "text", chars=2 * len(ITEM)))
-    assert len(parts) > 2 and sorted(int(x) for p in parts for x in p.ids) == list(range(6))
+    assert len(parts) > 2 and sorted(int(x) for p in parts for o in p.owners for x in o) == list(range(6))
+
+
+def pairs_of(texts, items, **how):
+    d, i = leakage.LeakIndex(items, **how).find(texts)
+    return set(zip(d.tolist(), i.tolist(), strict=True))
+
+
+def test_budget_of_edits():
+    """The budget decides what the alignment accepts: characters put in, left out or replaced, and labels at a line start."""
+    w = ITEM.split()
+    replaced = [x if k % 5 != 2 else x[:-1] + "z" for k, x in enumerate(w)]
+    longer = [x if k % 5 != 2 else x[:1] + "q" + x[1:] for k, x in enumerate(w)]
+    shorter = [x if k % 5 != 2 else x[1:] for k, x in enumerate(w)]
+    texts = ["some words before " + " ".join(x) + " and some behind" for x in (replaced, longer, shorter)]
+    items = [(1, " ".join(w[:12]))]
+    for edits, found in ((0, set()), (1, set()), (2, {0, 1, 2})):
+        assert {d for d, _ in pairs_of(texts, items, edits=edits, exact=False)} == found
+    assert not pairs_of(texts, items, edits=3)  # no twelve whole words
+    lines = "\n".join(("A: " + " ".join(w[:4]), "B: " + " ".join(w[4:9]), " ".join(w[9:12])))
+    assert not pairs_of([lines], items, edits=0) and pairs_of([lines], items, edits=2) == {(0, 1)}
+    numbers = "\n".join(("1. " + " ".join(w[:4]), "22) " + " ".join(w[4:9]), "333 " + " ".join(w[9:12])))
+    assert pairs_of([numbers], items, edits=0) == {(0, 1)}
+    inside = [*w[:4], "an", *w[4:12]]
+    assert not pairs_of([" ".join(inside)], items) and not pairs_of([" ".join(inside[:4]) + "\n" + " ".join(inside[4:])], items)
+
+
+def test_number_of_the_passage_at_a_line_start():
+    item = " ".join(ITEM.split()[:6] + ["1947"] + ITEM.split()[6:11])
+    assert pairs_of([item.replace(" 1947", "\n1947")], [(1, item)]) == {(0, 1)}
+    assert pairs_of(["so " + item], [(1, item.replace(" 1947", "\n1947"))]) == {(0, 1)}
+
+
+def test_items_of_one_template(monkeypatch):
+    """A hot template: work goes in slices of bounded size, and items that lack a word of the text are dropped before any alignment."""
+    rng = random.Random(5)
+    name = lambda: "".join(rng.choice("abcdefghij") for _ in range(7))
+    items = [(k, f"what is the name of the river that runs through {name()} and how many people live there in the year {k}") for k in range(300)]
+    text = " ".join(t if k % 5 == 0 else t[:50] + " nobody knows." for k, t in items[:60])
+    want = {(0, k) for k in range(0, 60, 5)}
+    tried = []
+    aligned = leakage.LeakIndex._aligned
+    monkeypatch.setattr(leakage.LeakIndex, "_aligned", lambda *a: tried.append(1) or aligned(*a))
+    assert pairs_of([text], items) == want and len(tried) < 200
+    monkeypatch.setattr(leakage, "HITS", 500)
+    assert pairs_of([text], items) == want
+    assert pairs_of([ITEM * 40 + text * 3, "", text], items) == {(d, k) for d in (0, 2) for _, k in want}
+
+
+def test_long_items_in_pieces():
+    rng = random.Random(8)
+    w = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    items = [(1, " ".join(w)), (2, "ha " * 2000)]
+    texts = ["x " + " ".join(w[a : a + n]) + " y" for a in range(0, 2900, 61) for n in (11, 12)] + ["ha " * 3000, "ha " * 11]
+    assert pairs_of(texts, items) == {(k, 1) for k in range(1, len(texts) - 2, 2)} | {(len(texts) - 2, 2)}
 
 
 # Truncation
