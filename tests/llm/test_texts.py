@@ -211,7 +211,7 @@ def test_items_of_one_template(monkeypatch):
     tried = []
     aligned = leakage.LeakIndex._aligned
     monkeypatch.setattr(leakage.LeakIndex, "_aligned", lambda *a: tried.append(1) or aligned(*a))
-    assert pairs_of([text], items) == want and len(tried) < 200
+    assert pairs_of([text], items) == want and len(tried) < 800  # of 18,000
     monkeypatch.setattr(leakage, "HITS", 500)
     assert pairs_of([text], items) == want
     assert pairs_of([ITEM * 40 + text * 3, "", text], items) == {(d, k) for d in (0, 2) for _, k in want}
