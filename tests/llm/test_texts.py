@@ -361,6 +361,16 @@ def test_levels_of_held_out_texts(spark):
     assert sum(int(got[i][0] + 0.5) == levels[i] for i in range(200)) / 200 > 0.97  # wrong labels of a text don't count for it
     assert got[1000][0] is None and got[1001][0] is None and got[1002][0] is None
     assert abs(got[1003][0] - got[0][0]) < 0.3 and got[1004][0] > 1.5
+    # The map makes the grade: bits per word themselves would give other levels.
+    bits = readability.difficulty(scale.models[0], readability.read([texts[i] for i in held]))
+    assert sum(int(min(2, max(0, b)) + 0.5) != int(got[i][0] + 0.5) for i, b in zip(held, bits, strict=True)) > len(held) / 10
+
+
+def test_bound_of_the_fit(spark, monkeypatch):
+    monkeypatch.setattr(readability, "TRAIN_CHARS", 1000)
+    d = spark.createDataFrame([(1, "short text"), (2, "long text " * 500), (3, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, "easy"), (2, "advanced"), (3, "middle")], "doc_id bigint, reading_level string")
+    assert [len(m.keys[0]) for m in readability.fit(d, "doc_id", "text", labels, "doc_id", "reading_level").models] == [2, 2]
 
 
 def test_isotonic_and_nothing(spark):
