@@ -243,8 +243,11 @@ def test_structures():
     [
         ("He sits.", truncation.WHOLE),
         ("He sits", None),
-        ("A sign reads \"OPEN TODAY\"", truncation.WHOLE),
-        ("He sits. (amber, handheld)", truncation.WHOLE),
+        ("A sign reads \"OPEN TODAY\"", truncation.SOFT),
+        ("He says: \"Come in.\"", truncation.WHOLE),
+        ("He sits. (amber, handheld)", truncation.SOFT),
+        ("He sits;", truncation.SOFT),
+        ("He meets Dr.", truncation.SOFT),
         ("teal, amber, open grief, night", truncation.WHOLE),
         ("A man enters from the left,", truncation.CUT),
         ("A man ent�", truncation.CUT),
@@ -333,6 +336,63 @@ def test_every_member_of_a_band_is_a_partner(spark, monkeypatch):
     assert truncation.truncated(twin, truncation.FIELDS, "clip_id", "processed_at").count() == 0  # the closest copy tells
 
 
+def clips_of(spark, texts):
+    return spark.createDataFrame([(k, 1, t, None) for k, t in texts.items()], "clip_id string, processed_at int, generated_caption string, caption_struct string")
+
+
+def test_cut_copies_without_closing_words(spark):
+    """Near-copies alone find cuts of any size: recall at least 0.9 without terminality, and no whole text."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 9))) for _ in range(2000)]
+    texts, want = {}, set()
+    for i in range(300):
+        sentences = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(9, 16))).capitalize() + "." for _ in range(rng.randint(3, 6))]
+        t = " ".join(sentences)
+        texts[f"w{i}"] = t
+        words = t.split()
+        at = rng.randrange(len(words) // 5 + 6, len(words))
+        if at > 58:  # a copy that differs in a word, and is similar enough all the same
+            words[rng.randrange(at - 1)] = rng.choice(vocabulary)
+        if i % 3 == 0:
+            texts[f"s{i}"] = " ".join(words)[:-1]  # merely without full stop
+        elif not words[at - 1].endswith("."):
+            texts[f"c{i}"] = " ".join(words[:at])[: None if i % 3 == 1 else -1]
+            want.add(f"c{i}")
+    got = {r.clip_id for r in truncation.truncated(clips_of(spark, texts), truncation.FIELDS, "clip_id", "processed_at", closings=False).collect()}
+    assert got <= want and len(want) > 150
+    assert len(got) / len(want) >= 0.9
+
+
+def test_unknown_and_soft_endings(spark):
+    texts = {f"n{i}": t for i, t in enumerate(captions(60, 4))}
+    long = "The old ferry pilot folds a letter twice and slowly meets Dr. Rao at the mill; then the two of them (both tired) walk home by the old well."
+    texts |= {
+        "rare": "A woman lights a small lamp and bows at the shrine of Kumbhalgarh",
+        "part": "A woman lights a small lamp and bows at the vill",
+        "doctor": "An old man walks to the clinic and meets Dr.",
+        "long": long,
+        "dr": long[: long.index(" Rao")],
+        "semicolon": long[: long.index(" then")],
+        "bracket": long[: long.index(" walk")],
+        "said": "The village teacher counts crumpled notes near the jetty and reads \"OPEN TODAY\"",
+        "said_on": "The village teacher counts crumpled notes near the jetty and reads \"OPEN TODAY\" She goes.",
+    }
+    got = {r.clip_id for r in truncation.truncated(clips_of(spark, texts), truncation.FIELDS, "clip_id", "processed_at").collect()}
+    assert got == {"part", "dr", "semicolon", "bracket"}
+
+
+def test_counts_do_not_depend_on_batches(spark):
+    """A repeated text counts as often as it occurs, in any layout of the rows."""
+    texts = [f"somebody {w} counts notes near the jetty" for w in ("a", "b", "c")] + ["he counts notes near the jetty."] * 40 + ["he goes near the jetty again."] * 700
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    every = np.ones(1 << truncation._BITS, bool)
+    sums = []
+    for n in (1, 7):
+        rows = truncation._survey(df.repartition(n), ["x"], every, ~every).where("text is null").groupBy("key").agg(F.sum("goes"), F.sum("ends"), F.sum("marked")).collect()
+        sums.append({tuple(r) for r in rows})
+    assert sums[0] == sums[1] and max(r[1] for r in sums[0]) > 700
+
+
 # Reading level
 
 
