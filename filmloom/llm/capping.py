@@ -19,7 +19,7 @@ def capped(
     *,
     cap: int | None = None,
     share: tuple[int, int] | None = None,
-    bins: int = 1024,
+    bins: int = 256,
 ) -> DataFrame:
     """Mark the records beyond the cap of their contributor: (item, contributor, quality, ``kept``).
 
@@ -27,28 +27,31 @@ def capped(
     (null and NaN last), equal quality by item.  ``share`` (a, b) stands for
     cap = floor(records * a / b).
 
-    Each contributor's quality goes into a histogram of ``bins`` steps of equal
-    width (plus one for missing values), a sum of small counts that is
-    reduced on the map side.  From it follow, for contributors above the cap,
+    Each contributor's quality goes into a histogram, a sum of small counts that is
+    reduced on the map side (one more bin holds missing values).  The bins follow the data: ``bins`` of them to the
+    interquartile range around the median, and ever wider ones outside, so that neither the
+    scale nor a few extreme values matter.  From it follow, for contributors above the cap,
     the bin in which the cap is reached: better bins are kept, worse ones fall
     out, and only the records of that one bin are ranked, by positions that
     spread over many tasks however large the bin is.
 
     Defined cases: records without an item are left out; a null contributor is a
-    contributor like any other; infinite qualities lie in the outermost bins;
+    contributor like any other; infinite qualities lie in bins of their own;
     repeated rows count each; an empty table gives an empty result.
     """
     if (cap is None) == (share is None):
         raise ValueError("give either cap or share")
     score = F.col(quality).cast("double")
     narrow = materialise(records.where(F.col(item).isNotNull()).select(F.col(contributor).alias("c"), F.col(item).alias("i"), number(score).alias("q")))
-    finite = F.when(F.abs("q") < float("inf"), F.col("q"))
-    facts = narrow.agg(F.count(F.lit(1)).alias("n"), F.min(finite).alias("low"), F.max(finite).alias("high")).first()
+    facts = narrow.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(F.when(F.abs("q") < float("inf"), F.col("q")), [0.25, 0.5, 0.75], 1000).alias("p")).first()
     if share:
         cap = facts["n"] * share[0] // share[1]
-    low, width = facts["low"] or 0.0, ((facts["high"] or 0.0) - (facts["low"] or 0.0)) or 1.0
-    step: Column = F.least(F.lit(bins), F.greatest(F.lit(1), 1 + F.floor((F.col("q") - low) / width * bins)))
-    binned = narrow.withColumn("bin", F.coalesce(F.when(F.col("q") == float("inf"), bins).when(F.col("q") == float("-inf"), 1).otherwise(step), F.lit(0)).cast("int"))
+    low, middle, high = facts["p"] or (0.0, 0.0, 0.0)
+    # Nondecreasing in q: linear near the median, logarithmic far from it.
+    z = (F.col("q") - middle) / ((high - low) or 1.0)
+    step: Column = F.floor(F.signum(z) * F.log1p(F.abs(z)) * bins).cast("int")
+    far = 2**30
+    binned = narrow.withColumn("bin", F.when(F.col("q") == float("inf"), far).when(F.col("q") == float("-inf"), -far).otherwise(F.coalesce(step, F.lit(-far - 1))))
     histogram = binned.groupBy("c", "bin").agg(F.count(F.lit(1)).alias("n"))
     by = Window.partitionBy("c")
     above = F.coalesce(F.sum("n").over(by.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
