@@ -42,8 +42,8 @@ CLOSING, SEEN = 5, 3
 TERMINAL = 0.05
 #: Share of the occurrences of some words that must go on with just these and a mark of omission, for the mark to be style.
 STYLE = 0.5
-#: Bits of the two filters that tell which n-grams and bands anybody asks for: 512 KB each, whatever the input.
-_BITS = 22
+#: Slots of a filter that tells which n-grams and bands anybody asks for, by the number of those: 64 for each, within these powers of two (4 MB at most).
+_SLOTS = (20, 25)
 
 _FENCE = re.compile(r"^```\w*\s*")
 _MARK = re.compile(r"""(?:…|\.{2,}|\[\s*(?:…|\.{2,})\s*\]|�+)[\s"”’»')\]]*$""")
@@ -328,17 +328,32 @@ def _describe(open_texts: DataFrame) -> DataFrame:
     return open_texts.mapInArrow(run, "id binary, text string, marked boolean, soft boolean, keys array<bigint>, words bigint, bands array<bigint>")
 
 
-def _filter_of(hashes: DataFrame, column: str) -> np.ndarray:
-    """Flags by the leading bits of the hashes: at most 2**_BITS / 64 rows come to the driver."""
-    slot = F.shiftrightunsigned(column, 64 - _BITS)
-    rows = hashes.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("m")).collect()
-    out = np.zeros(1 << (_BITS - 6), np.uint64)
-    for r in rows:
-        out[r["at"]] = np.uint64(r["m"] & 0xFFFFFFFFFFFFFFFF)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
+class _Filter(NamedTuple):
+    """Flags by the leading and by the trailing bits of hashes; a hash is known if it has both."""
 
+    bits: int
+    flags: tuple[np.ndarray, np.ndarray]
 
-def _survey(df: DataFrame, fields: list[str], grams: np.ndarray, bands: np.ndarray) -> DataFrame:
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        slots = (h >> np.uint64(64 - self.bits)).astype(np.int64), (h & np.uint64((1 << self.bits) - 1)).astype(np.int64)
+        first, second = ((f[s >> 3] >> (s & 7).astype(np.uint8)) & 1 for f, s in zip(self.flags, slots, strict=True))
+        return (first & second).astype(bool)
+
+
+def _filter_of(hashes: DataFrame, column: str) -> _Filter:
+    """Filter of the hashes: at most 2**25 / 64 rows for each half of it come to the driver."""
+    n = hashes.count()
+    bits = min(max(_SLOTS[0], (64 * n).bit_length()), _SLOTS[1])
+    flags = []
+    for slot in (F.shiftrightunsigned(column, 64 - bits), F.col(column).bitwiseAND(F.lit((1 << bits) - 1))):
+        rows = hashes.select(slot.alias("s")).groupBy(F.shiftright("s", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(s & 63 as int)))").alias("m")).toPandas()
+        out = np.zeros(1 << (bits - 6), np.uint64)
+        out[rows["at"].to_numpy(np.int64)] = rows["m"].to_numpy(np.int64).view(np.uint64)
+        flags.append(out.view(np.uint8))
+    return _Filter(bits, (flags[0], flags[1]))
+
+
+def _survey(df: DataFrame, fields: list[str], grams: _Filter, bands: _Filter) -> DataFrame:
     """What the corpus of all values knows about the open ends.
 
     Rows with ``text`` null: partial counts of an n-gram that somebody asks for,
@@ -349,11 +364,10 @@ def _survey(df: DataFrame, fields: list[str], grams: np.ndarray, bands: np.ndarr
     ``ends``: 1 where the text is whole and ends there, 0 where it goes on, -1 where it ends there and may have been cut.
     """
     sc = df.sparkSession.sparkContext
-    shared = sc.broadcast((np.packbits(grams), np.packbits(bands)))  # 2 x 512 KB
+    shared = sc.broadcast((grams, bands))  # at most 2 x 8 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        want, near = (np.unpackbits(x).astype(bool) for x in shared.value)
-        shift = np.uint64(64 - _BITS)
+        want, near = shared.value
         for b in batches:
             place: dict[str, str] = {}
             often: Counter[str] = Counter()
@@ -372,12 +386,12 @@ def _survey(df: DataFrame, fields: list[str], grams: np.ndarray, bands: np.ndarr
                 kind = np.where(ends, 1, 0)
                 kind[last] = np.select([np.isin(state[c.w.doc[last]], (WHOLE, SOFT)), state[c.w.doc[last]] == "marked"], [1, 2], 3)
                 key, number = c.stems(times)
-                asked = want[(key >> shift).astype(np.int64)]
+                asked = want(key)
                 keys, kinds, numbers = [key[asked]], [np.zeros(int(asked.sum()), np.int64)], [number[asked]]
                 for n in range(1, CLOSING + 1):
                     g, begin = K.ngrams(c.w.hash, c.w.doc, n)
                     g = _closing_key(g, n)
-                    asked = want[(g >> shift).astype(np.int64)]
+                    asked = want(g)
                     keys.append(g[asked])
                     kinds.append(kind[begin[asked] + n - 1])
                     numbers.append(times[c.w.doc[begin[asked]]])
@@ -387,7 +401,7 @@ def _survey(df: DataFrame, fields: list[str], grams: np.ndarray, bands: np.ndarr
                 none = [None] * len(distinct)
                 yield _batch(none, _signed(distinct), sums, none, none)
                 doc, head, rows = c.bands()
-                hit = near[(rows >> shift).astype(np.int64)]
+                hit = near(rows)
                 out: list[tuple[bytes, str, int, list[int]]] = []
                 begins = np.append(np.searchsorted(c.w.doc, np.arange(len(texts))), len(c.w.doc))
                 for r in np.flatnonzero(hit.any(axis=1)).tolist():
