@@ -206,6 +206,15 @@ def test_actor_names():
     assert not N.over_tagged("Ravi walks. Ravi sits.", ["Ravi"])
     assert N.meets_self("Ravi in a long conversation with Ravi", ["Ravi"])
     assert N.untag("Ravi sits facing Ravi.", ["Ravi"], [m]) == "Ravi sits facing another man."
+    assert not N.over_tagged("Ravi sits. A clerk speaks with him. He sees the old Ravi", ["Ravi"])
+    assert N.over_tagged("Ravi sits and greets the tired Ravi", ["Ravi"]) and N.over_tagged("Ravi sits near another Ravi", ["Ravi"])
+    assert N.untag("Ravi sits with Ravi, who smiles. Ravi goes.", ["Ravi"], [None]) == "Ravi sits with another person, who smiles. Ravi goes."
+    assert N.untag("Ravi speaks to Ravi's friend and stays embracing with Ravi.", ["Ravi"], [m]) == "Ravi speaks to another man's friend and stays embracing with another man."
+    assert N.untag("Ravi faces Mira. Mira stands beside her, Mira smiles, with Mira.", ["Ravi", "Mira"], [m, f]) == "Ravi faces Mira. Mira stands beside her, another woman smiles, with Mira."
+    assert N.put_names("The person sits. Another man waits.", ["Ravi"], [m]) == "Ravi sits. Another man waits."
+    assert N.put_names("", ["Ravi"], [m]) == "" and N.put_names("A man", [], []) == "A man"
+    assert N.fit_attire("Mira's friend in a long coat and Mira in a tall turban.", "Mira", f) == "A man's friend in a long coat and a man in a tall turban."
+    assert not N.meets_self("Ravi walks. Ravi sits.", ["Ravi"]) and not N.meets_self("Ravi and Mira", ["Ravi", "Mira"])
     assert N.targeted("Ravi and Ravi see the another dog", ["Ravi"], [m]) == "Ravi and another man see the other dog"
     assert N.genders(["Ravi Rao", "X"], {"ravi rao": "M"}, [{"actor": "x", "face_gender": "Female"}]) == [m, f]
 
