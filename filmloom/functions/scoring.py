@@ -206,6 +206,44 @@ def route(raw: Column) -> Column:
     return F.when(clip_bucket(raw).isin(V.PEOPLE_BUCKETS), "people").otherwise("other")
 
 
+def band_removed(keep: Column, crop: Column) -> Column:
+    """Whether a kept clip has a crop box; null for the others."""
+    return F.when(keeps(keep), F.length(F.coalesce(crop, F.lit(""))) > 0)
+
+
+def without_text(keep: Column, reject: Column, reason: Column, has_text: Column, drop: bool = True) -> Column:
+    """Struct (keep, reject, reason): a clip with text on screen is refused where that is asked for."""
+    out = F.coalesce(has_text, F.lit(False)) & F.lit(drop)
+    return F.struct((keeps(keep) & ~out).alias("keep"), (rejected(reject) | out).alias("reject"), F.when(out, "has_text").otherwise(reason).alias("reason"))
+
+
+def wants_caption(keep: Column, reject: Column, every: bool = True) -> Column:
+    """Whether a clip gets a caption: every one, or only those that stand."""
+    return F.lit(True) if every else keeps(keep) & ~rejected(reject)
+
+
+def accepted_portrait(refused: Column, category: Column) -> Column:
+    """Images of people that were accepted; one without a decision was not."""
+    return ~F.coalesce(refused, F.lit(True)) & (F.coalesce(category, F.lit("")) == "people_portraits")
+
+
+def actor_step(keep: Column, reject: Column, route_: Column) -> Column:
+    """Why a clip is not searched for actors: skipped, not_applicable, or null where it is."""
+    return F.when(~keeps(keep) | rejected(reject), "skipped").when(F.coalesce(route_, F.lit("")) != "people", "not_applicable")
+
+
+def caption_actors(status: Column, names: Column) -> Column:
+    """Names that may go into a caption: those of clips that are surely tagged."""
+    return F.when(status == "tagged", F.coalesce(names, F.array().cast("array<string>"))).otherwise(F.array().cast("array<string>"))
+
+
+def verify_outcome(keep: Column, reject: Column, verdict: Column, caption: Column, there: Column, allowed: tuple[str, ...] = ("FINAL",)) -> Column:
+    """What a check of the caption comes to before it runs: no_target, no_caption, no_clip or check."""
+    target = keeps(keep) & ~rejected(reject) & F.coalesce(verdict.isin(list(allowed)), F.lit(False))
+    empty = F.length(F.trim(F.coalesce(caption, F.lit("")))) == 0
+    return F.when(~target, "no_target").when(empty, "no_caption").when(~F.coalesce(there, F.lit(False)), "no_clip").otherwise("check")
+
+
 def caption_choice(caption: Column, description: Column, source: Column, bucket: Column, name: Column, markers: tuple[str, ...], permille: int = 150) -> Column:
     """Struct (caption, caption_source): for a fixed share of the files of marked sources their own description is taken."""
     marked = F.lit(False)

@@ -41,6 +41,21 @@ def most_common(df: DataFrame, key: list[str], value: str, order: str) -> DataFr
     return per.groupBy(*key).agg(first.alias("b")).select(*key, F.col("b.__v").alias(value), F.col("b.n").alias("n"))
 
 
+def frame_summary(df: DataFrame, key: list[str], frame: str, names: str, similarity: str, margin: str, score: str, order: tuple[int, ...] = (2, 1, 3)) -> DataFrame:
+    """One row per clip from its frames: (key, actors, least_similarity, least_margin, clip_score).
+
+    The actors are those of the first frame, in ``order``, that has any; the least
+    similarity and margin go over all frames (0 where there is none), and the score is the mean over them.  A map-side
+    aggregate: no frame but the chosen one is held.
+    """
+    place = F.array_position(F.array(*[F.lit(x) for x in order]), F.col(frame))
+    chosen = F.min(F.when((place > 0) & (F.size(names) > 0), F.struct(place.alias("at"), F.col(names).alias("names"))))
+    known = lambda c: F.when(~F.isnan(c), F.col(c))
+    zero = F.lit(0.0)
+    out = df.groupBy(*key).agg(chosen.alias("__c"), F.coalesce(F.min(known(similarity)), zero).alias("least_similarity"), F.coalesce(F.min(known(margin)), zero).alias("least_margin"), F.coalesce(F.avg(known(score)), zero).alias("clip_score"))
+    return out.select(*key, F.coalesce("__c.names", F.array().cast("array<string>")).alias("actors"), "least_similarity", "least_margin", "clip_score")
+
+
 def corner_vote(df: DataFrame, key: list[str], corners: dict[str, str], least_std: float = 40.0, least_votes: int = 2) -> DataFrame:
     """Whether a movie has a logo: each frame votes for its most contrasted corner above ``least_std``.
 

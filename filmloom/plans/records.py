@@ -90,9 +90,6 @@ def clip_locations(spark, folder: str) -> DataFrame:
     return L.in_priority(rows.select("clip_id"), "clip_id", places, "path")
 
 
-_STEPS = ["click", "view", "purchase", "signup", "scroll"]
-
-
 def _steps(spark, folder: str) -> list[str]:
     return sorted(x[0] for x in table(spark, folder, "events").select("event_type").distinct().collect())
 
@@ -225,6 +222,42 @@ def frame_vote(spark, folder: str) -> DataFrame:
     return O.frame_vote(rows, ["clip_id"], "processed_at", "bucket", "bucket_confidence", "reject")
 
 
+def frame_actor_summary(spark, folder: str) -> DataFrame:
+    """The states of a clip as frames, by the weekday of their time: chosen actors, least scores and mean score."""
+    rows = table(spark, folder, "clips").where("clip_id is not null").select("clip_id", "processed_at", "clip_actors", "bucket_confidence", "motion_score", "icr").distinct()
+    rows = rows.withColumn("frame", F.dayofweek("processed_at") % 3 + 1)
+    one = rows.groupBy("clip_id", "frame").agg(F.max(F.struct("processed_at", "clip_actors", "bucket_confidence", "motion_score", "icr")).alias("m")).select("clip_id", "frame", "m.*")
+    s = O.frame_summary(one, ["clip_id"], "frame", "clip_actors", "bucket_confidence", "motion_score", "icr")
+    return s.select("clip_id", F.array_join("actors", ",").alias("actors"), rounded("least_similarity").alias("least_similarity"), rounded("least_margin").alias("least_margin"), rounded("clip_score").alias("clip_score"))
+
+
+def verify_targets(spark, folder: str) -> DataFrame:
+    """What the check of each clip's caption comes to; a clip with a source is there."""
+    rows = clips(spark, folder, "keep", "reject", "verdict", "caption", "source_video")
+    outcome = S.verify_outcome(F.col("keep"), F.col("reject"), F.upper(F.trim("verdict")), F.col("caption"), F.col("source_video").isNotNull())
+    return rows.select("clip_id", outcome.alias("outcome"))
+
+
+def step_filters(spark, folder: str) -> DataFrame:
+    """Which steps each clip goes through: band flag, text on screen, caption, actors; the box and the text flag come from its scores."""
+    c = F.col
+    rows = clips(spark, folder, "keep", "reject", "route", "clip_actors", "scene_id", "s2_reject_reason", "bucket")
+    text = c("scene_id") % 7 == 0
+    out = S.without_text(c("keep"), c("reject"), c("s2_reject_reason"), text)
+    step = S.actor_step(c("keep"), c("reject"), F.lower(F.trim("route")))
+    return rows.select(
+        "clip_id",
+        S.band_removed(c("keep"), F.when(c("scene_id") % 2 == 0, "crop=8:4:0:0")).alias("band_removed"),
+        out["keep"].alias("keep"),
+        out["reject"].alias("reject"),
+        out["reason"].alias("reason"),
+        S.wants_caption(c("keep"), c("reject"), every=False).alias("captioned"),
+        step.alias("actor_step"),
+        F.size(S.caption_actors(F.when(step.isNull(), "tagged"), c("clip_actors"))).alias("caption_actors"),
+        S.accepted_portrait(c("reject"), F.when(F.contains(F.coalesce("bucket", F.lit("")), F.lit("portrait")), "people_portraits")).alias("portrait"),
+    )
+
+
 def common_verdict(spark, folder: str) -> DataFrame:
     """The most frequent verdict of each movie, of equals the one with the least time."""
     rows = clips(spark, folder, "video_id", "verdict", "timestamp_start").where("verdict is not null and timestamp_start is not null").withColumn("verdict", F.upper(F.trim("verdict")))
@@ -320,7 +353,7 @@ def crop_boxes(spark, folder: str) -> DataFrame:
 _ALL = [
     manifest_source_join, prompt_lookup_fallback, verify_defaults, done_skip_antijoin, status_pending, rejected_union, cast_semi_join, movie_by_name, clip_locations, runtime_summary_pivot, runtime_upsert, actor_name_hits,
     dup_exact_first_seen, dup_near_pairs, dup_greedy_keep, dup_cross_source, dup_content, actors_in_order, scene_merge, scene_gaps, scene_boundaries, clip_tiling, chunk_bounds, frame_tasks, timecodes_read, motion_steps,
-    frame_vote, common_verdict, corner_vote, batch_numbers, worker_split, top_captions, clip_browser_page, bucket_order, seeded_sample, ids_lookup, export_captions, export_partition_index, export_names, crop_boxes,
+    frame_vote, frame_actor_summary, verify_targets, step_filters, common_verdict, corner_vote, batch_numbers, worker_split, top_captions, clip_browser_page, bucket_order, seeded_sample, ids_lookup, export_captions, export_partition_index, export_names, crop_boxes,
 ]
 QUERIES = {f.__name__: f for f in _ALL}
 
@@ -382,6 +415,16 @@ SELECT user_id, {r('avg(abs(nx - value))')} AS mean_change, count(*) AS n FROM k
 p AS (SELECT clip_id, bucket, count(*) AS n, min(processed_at) AS o, sum(coalesce(c, 0.5)) AS c, count(*) FILTER (coalesce(reject, false)) AS rj FROM f GROUP BY 1, 2),
 t AS (SELECT clip_id, sum(n) AS frames, sum(rj) AS rj FROM p GROUP BY 1), w AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY clip_id ORDER BY n DESC, o) = 1)
 SELECT clip_id, frames::INT AS frames, t.rj >= greatest(1, frames // 2 + 1) AS reject, bucket, {r("c / n * n / frames")} AS bucket_confidence FROM w JOIN t USING (clip_id)""",
+    "frame_actor_summary": f"""WITH f AS (SELECT DISTINCT clip_id, processed_at, clip_actors, bucket_confidence AS s, motion_score AS g, icr AS i, (dayofweek(processed_at) + 1) % 3 + 1 AS frame FROM clips WHERE clip_id IS NOT NULL),
+o AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY clip_id, frame ORDER BY processed_at DESC NULLS LAST) = 1),
+k AS (SELECT *, list_position([2, 1, 3], frame::INT) AS p FROM o),
+a AS (SELECT clip_id, array_to_string(arg_min(clip_actors, p), ',') AS actors FROM k WHERE len(clip_actors) > 0 GROUP BY 1),
+m AS (SELECT clip_id, {r("coalesce(min(" + nn("s") + "), 0)")} AS least_similarity, {r("coalesce(min(" + nn("g") + "), 0)")} AS least_margin, {r("coalesce(avg(" + nn("i") + "), 0)")} AS clip_score FROM k GROUP BY 1)
+SELECT clip_id, coalesce(actors, '') AS actors, least_similarity, least_margin, clip_score FROM m LEFT JOIN a USING (clip_id)""",
+    "verify_targets": f"""WITH {CUR} SELECT clip_id, CASE WHEN NOT ({_ACCEPT}) OR coalesce(upper(trim(verdict)), '') <> 'FINAL' THEN 'no_target' WHEN trim(coalesce(caption, '')) = '' THEN 'no_caption' WHEN source_video IS NULL THEN 'no_clip' ELSE 'check' END AS outcome FROM cur""",
+    "step_filters": f"""WITH {CUR}, k AS (SELECT *, coalesce(scene_id % 7 = 0, false) AS t, NOT ({_ACCEPT}) AS x, CASE WHEN NOT ({_ACCEPT}) THEN 'skipped' WHEN coalesce(lower(trim(route)), '') <> 'people' THEN 'not_applicable' END AS st FROM cur)
+SELECT clip_id, CASE WHEN coalesce(keep, true) THEN coalesce(scene_id % 2 = 0, false) END AS band_removed, coalesce(keep, true) AND NOT t AS keep, coalesce(reject, false) OR t AS reject, CASE WHEN t THEN 'has_text' ELSE s2_reject_reason END AS reason,
+NOT x AS captioned, st AS actor_step, CASE WHEN st IS NULL THEN coalesce(len(clip_actors), 0) ELSE 0 END::INT AS caption_actors, NOT coalesce(reject, true) AND contains(coalesce(bucket, ''), 'portrait') AS portrait FROM k""",
     "common_verdict": f"""WITH {CUR}, p AS (SELECT video_id, upper(trim(verdict)) AS verdict, count(*) AS n, min(timestamp_start) AS o FROM cur WHERE verdict IS NOT NULL AND timestamp_start IS NOT NULL GROUP BY 1, 2)
 SELECT video_id, verdict, n FROM p QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY n DESC, o, verdict) = 1""",
     "corner_vote": """WITH k AS (SELECT l_suppkey, l_quantity::DOUBLE AS a, l_discount::DOUBLE * 600 AS b, l_tax::DOUBLE * 700 AS c, l_extendedprice::DOUBLE / 1500 AS d FROM lineitem), m AS (SELECT *, greatest(a, b, c, d) AS g FROM k),

@@ -130,11 +130,11 @@ def score_statistics(spark, folder: str) -> DataFrame:
 
 def model_means(spark, folder: str) -> DataFrame:
     """Mean scores per prompt version, and how many clips look like hallucinations."""
-    rows = clips(spark, folder, "prompt_version", "icr", "aod", "motion_score")
+    rows = clips(spark, folder, "prompt_version", "icr", "aod", "motion_score", "clip_score")
     return rows.groupBy("prompt_version").agg(
         F.count(F.lit(1)).alias("n"),
         *[rounded(F.avg(S.known(F.col(c)))).alias(f"mean_{c}") for c in ("icr", "aod", "motion_score")],
-        F.count_if(S.known(F.col("icr")) < 0.2).alias("low"),
+        F.count_if(S.known(F.col("clip_score")) < 0.2).alias("low"),
     )
 
 
@@ -293,7 +293,7 @@ SELECT metric, scope, (CASE WHEN v >= 0 AND v < 0.8 THEN floor(v * 5) ELSE 4 END
     "score_statistics": f"""WITH {CUR}, long AS ({_LONG}), ok AS (SELECT * FROM long WHERE v IS NOT NULL AND NOT isnan(v))
 SELECT metric, count(*) AS n, {r("avg(v)")} AS mean, {r("stddev_samp(v)")} AS std, {r("min(v)")} AS min, {r("max(v)")} AS max, {r("median(v)")} AS median FROM ok GROUP BY 1""",
     "model_means": f"""WITH {CUR} SELECT prompt_version, count(*) AS n, {r("avg(" + nn("icr") + ")")} AS mean_icr, {r("avg(" + nn("aod") + ")")} AS mean_aod, {r("avg(" + nn("motion_score") + ")")} AS mean_motion_score,
-count(*) FILTER ({nn("icr")} < 0.2) AS low FROM cur GROUP BY 1""",
+count(*) FILTER ({nn("clip_score")} < 0.2) AS low FROM cur GROUP BY 1""",
     "funnel_counts": f"WITH {CUR} " + " UNION ALL ".join(f"SELECT {i}::INT AS step, '{n}' AS stage, count(*) FILTER ({' AND '.join(f'coalesce({c}, false)' for c in _STAGES[: i + 1])}) AS n FROM cur" for i, n in enumerate(["extracted", "kept", "not_rejected", "captioned", "final", "with_actors"])),
     "report_clip_summary": f"""WITH {CUR}, k AS (SELECT *, coalesce(keep, true) AS kp, coalesce(reject, false) AS rj, CASE WHEN coalesce(keep, true) AND NOT coalesce(reject, false) THEN {nn('final_score')} END AS s FROM cur)
 SELECT count(*) AS clips, count(*) FILTER (kp) AS kept, count(*) FILTER (NOT kp) AS not_kept, count(*) FILTER (rj) AS rejected, count(*) FILTER (NOT kp AND s2_reject_reason = 'duplicate') AS duplicates,
