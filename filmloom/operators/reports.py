@@ -26,7 +26,9 @@ def statistics(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     rows = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v")) for c in columns])
     long = df.select(F.inline(rows)).where("v is not null and not isnan(v)")
     r = lambda x: rounded(x, digits)
-    return long.groupBy("metric").agg(F.count("v").alias("n"), r(F.avg("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"), r(F.min("v")).alias("min"), r(F.max("v")).alias("max"), r(F.percentile("v", F.lit(0.5))).alias("median"))
+    out = long.groupBy("metric").agg(F.count("v").alias("n"), r(F.avg("v")).alias("mean"), r(F.stddev_samp("v")).alias("std"), r(F.min("v")).alias("min"), r(F.max("v")).alias("max"))
+    # Exact medians from positions, so that no task holds all values of a column.
+    return out.join(group_percentiles(long, ["metric"], "v", {"median": 0.5}).select("metric", r("median").alias("median")), "metric")
 
 
 def group_percentiles(df: DataFrame, group: list[str], value: str, shares: dict[str, float]) -> DataFrame:
