@@ -433,6 +433,48 @@ def test_bound_of_the_fit(spark, monkeypatch):
     assert [len(m.keys[0]) for m in readability.fit(d, "doc_id", "text", labels, "doc_id", "reading_level").models] == [2, 2]
 
 
+def test_fit_on_all_labelled_documents(spark):
+    """More documents than a driver-sized sample would hold, and one far longer than the others; all have a part in counts and maps."""
+    rng = random.Random(8)
+
+    def own(i):
+        return "q" + "".join(chr(97 + i // 26**k % 26) for k in range(3))
+
+    levels = [rng.randrange(3) for _ in range(4500)]
+    texts = [own(i) + " " + prose(v, rng)[:80] for i, v in enumerate(levels)]
+    texts[0] = " ".join(own(i) for i in range(5000, 11000)) + " " + texts[0]
+    noisy = [v if rng.random() > 0.1 else (v + 1) % 3 for v in levels]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    labels = spark.createDataFrame([(i, readability.LEVELS[v]) for i, v in enumerate(noisy)], "doc_id bigint, reading_level string")
+    scale = readability.fit(d, "doc_id", "text", labels, "doc_id", "reading_level")
+    whole = readability.read(texts)
+    assert set(np.concatenate([m.keys[0] for m in scale.models]).tolist()) == set(whole.grams[0].tolist())
+    fold = readability.folds(texts)
+    for f in (0, 1):
+        own_half, other = np.flatnonzero(fold == f), np.flatnonzero(fold != f)
+        one = readability.read([texts[i] for i in own_half])
+        for n in range(readability.ORDER):
+            assert scale.models[f].keys[n].tolist() == np.unique(one.grams[n][one.grams[n] != 0]).tolist()
+        # Relative frequencies of single words by plain counting, less the share of the other levels.
+        of = np.array(noisy)[own_half][one.doc]
+        count = np.stack([[np.sum(of[one.grams[0] == w] == k) for k in range(3)] for w in scale.models[f].keys[0][:200]]).astype(float)
+        every = np.stack([np.bincount(np.searchsorted(scale.models[f].keys[0], one.grams[0][of == k]), minlength=len(scale.models[f].keys[0])) for k in range(3)], 1).astype(float)
+        less = lambda c: np.maximum(c - readability.NOISE * (c.sum(1, keepdims=True) - c), 0)
+        assert np.allclose(scale.models[f].share[0][:200], less(count) / less(every).sum(0))
+        # The map pooled by ranges is that of all documents of the other half in one piece.
+        x = readability.difficulty(scale.models[f], readability.read([texts[i] for i in other]))
+        values = np.linspace(x.min(), x.max(), 500)
+        assert np.allclose(np.interp(values, *scale.maps[f]), np.interp(values, *readability.isotonic(x, np.array(noisy)[other])))
+
+
+def test_ties_of_the_map():
+    """Labels of one difficulty count at once, in whatever order they come."""
+    x, y = np.array([0.0, 0.0, 0.0, 1.0, 1.0, 1.0]), np.array([0, 1, 1, 0, 1, 2])
+    for seed in range(20):
+        p = np.random.default_rng(seed).permutation(6)
+        assert np.allclose(np.interp([0, 1], *readability.isotonic(x[p], y[p])), [2 / 3, 1])
+
+
 def test_isotonic_and_nothing(spark):
     x, y = readability.isotonic(np.array([1.0, 2.0, 3.0, 4.0]), np.array([0.0, 2.0, 1.0, 2.0]))
     assert np.allclose(np.interp([1, 2, 3, 4], x, y), [0, 1.5, 1.5, 2])
