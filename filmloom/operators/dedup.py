@@ -2,45 +2,91 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filmloom.functions.hashing import hamming
+from filmloom.functions.nearhashes import bands, ends_of_runs, in_bands
 from filmloom.session import materialise
 
+#: Rows that the kernel of near pairs gathers before it works on them.
+BATCH = 1 << 18
+#: Arcs that one task decides in order: of two numbers each.
+AT_ONCE = 1 << 20
 
-def band_keys(bits: Column, distance: int, spare: int = 2) -> Column:
-    """Keys of which hashes within ``distance`` share at least one.
-
-    64 bits in distance + spare bands leave at least ``spare`` bands without a
-    differing bit; every choice of ``spare`` bands is a key.  More spare bands
-    make more keys, each shared by fewer rows: 64 * spare / (distance + spare) bits.
-    """
-    n = distance + spare
-    edges = [64 * i // n for i in range(n + 1)]
-    masks = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
-    signed = lambda m: m - (1 << 64) if m >> 63 else m
-    keys = [F.struct(F.lit(k).alias("k"), bits.bitwiseAND(F.lit(signed(sum(c))).cast("bigint")).alias("v")) for k, c in enumerate(combinations(masks, spare))]
-    return F.array(*keys)
 
+def _near(hashes: DataFrame, distance: int) -> DataFrame:
+    """(a, b, ha, hb) of rows (g, id, h) of the same g within the distance, a < b; each pair once.
 
-def near_pairs(hashes: DataFrame, group: list[str], bits: str, distance: int, *, spare: int = 2) -> DataFrame:
+    A hash goes once to each of distance + 1 bands of its bits: pairs within the distance agree on one of
+    them at least, and count in the first.  The kernel reads sorted candidates and holds little more than
+    the largest set of hashes of a group that agree on a band, which it deals further.
+    """
+    masks = F.array(*[F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint") for m in bands(list(range(64)), distance)])
+    dealt = hashes.select("g", "id", "h", F.explode(F.sequence(F.lit(0), F.lit(distance))).alias("k")).withColumn("v", F.col("h").bitwiseAND(F.element_at(masks, F.col("k") + 1)))
+    dealt = dealt.repartition("g", "k", "v").sortWithinPartitions("g", "k", "v").drop("v")
+
+    def found(group: np.ndarray, i: np.ndarray, h: np.ndarray, band: np.ndarray) -> Iterator[pa.RecordBatch]:
+        u = h.view(np.uint64)
+        held, n = [], 0
+        for x, y in chain(in_bands(group, band, u, distance), [(np.empty(0, np.int64),) * 2]):
+            held.append((x, y))
+            n += len(x)
+            if n and (n > BATCH or not len(x)):
+                x, y = (np.concatenate(c) for c in zip(*held, strict=True))
+                x, y = np.where(i[x] < i[y], x, y), np.where(i[x] < i[y], y, x)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (i[x], i[y], h[x], h[y])], names=["a", "b", "ha", "hb"])
+                held, n = [], 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        most = BATCH
+        for b in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            if sum(len(c[0]) for c in held) < most:
+                continue
+            group, i, h, band = (np.concatenate(c) for c in zip(*held, strict=True))
+            held = [[group, i, h, band]]
+            ends = ends_of_runs(group, band, h.view(np.uint64), distance)
+            if len(ends):  # the last run may go on
+                yield from found(*(c[: ends[-1]] for c in held[0]))
+                held = [[c[ends[-1] :] for c in held[0]]]
+            most = BATCH + 2 * len(held[0][0])
+        if held:
+            yield from found(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    return dealt.mapInArrow(run, "a bigint, b bigint, ha bigint, hb bigint")
+
+
+def _numbered(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Rows with a number ``id`` that grows in ``order``, and one of their group ``g``; written once, so that numbers stay."""
+    if group:
+        kinds = df.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(group)]).distinct().withColumn("g", F.monotonically_increasing_id())
+        on = [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(group)]
+        df = df.join(kinds, reduce(Column.__and__, on)).select(*df.columns, "g")
+    else:
+        df = df.withColumn("g", F.lit(0).cast("bigint"))
+    return materialise(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("id", F.monotonically_increasing_id()))
+
+
+def near_pairs(hashes: DataFrame, group: list[str], bits: str, distance: int) -> DataFrame:
     """Pairs of different hashes of a group within a Hamming distance: (group, a, b, distance) with a < b.
 
     Copies of a hash count once, so a hot hash meets nobody more often than
     any other; what is equal needs no pair.  Every pair within the distance is found.  Null
-    hashes take no part.
+    hashes take no part; a null group is a group.
     """
-    one = hashes.select(*group, F.col(bits).alias("__h")).where("__h is not null").distinct()
-    keyed = one.select(*group, "__h", F.explode(band_keys(F.col("__h"), distance, spare)).alias("__k"))
-    left = keyed.select(*[F.col(g).alias(f"__l{i}") for i, g in enumerate(group)], F.col("__h").alias("a"), F.col("__k").alias("__ka"))
-    right = keyed.withColumnRenamed("__h", "b")
-    on = (F.col("__ka") == F.col("__k")) & (F.col("a") < F.col("b")) & (hamming(F.col("a"), F.col("b")) <= distance)
-    for i, g in enumerate(group):
-        on = on & F.col(f"__l{i}").eqNullSafe(F.col(g))
-    return left.join(right, on).select(*group, "a", "b", hamming(F.col("a"), F.col("b")).alias("distance")).distinct()
+    one = _numbered(hashes.select(*group, F.col(bits).alias("h")).where("h is not null").distinct(), group, ["h"])
+    pairs = _near(one.select("g", "id", "h"), distance).select(F.col("a").alias("id"), F.least("ha", "hb").alias("a"), F.greatest("ha", "hb").alias("b"))
+    if group:
+        pairs = pairs.join(one.select("id", *group), "id")
+    return pairs.select(*group, "a", "b", hamming(F.col("a"), F.col("b")).alias("distance"))
 
 
 def first_seen(df: DataFrame, group: list[str], key: str, order: list[str], item: str) -> DataFrame:
@@ -53,7 +99,34 @@ def first_seen(df: DataFrame, group: list[str], key: str, order: list[str], item
     return df.join(firsts, on, "left").select(*df.columns, "first_item")
 
 
-def greedy_keep(df: DataFrame, group: list[str], item: str, bits: str, order: list[str], distance: int, *, score_only: bool = False, spare: int = 2) -> DataFrame:
+def _dropped(arcs: DataFrame) -> DataFrame:
+    """The numbers that greedy removal drops; arcs: (i, n) of a number and an earlier one near it, written already.
+
+    In rounds: a number that no arc leads back from is kept, and drops what is near; arcs of what is dropped are
+    left out.  When no more than AT_ONCE arcs are left, one task goes through them in their order.
+    """
+    gone = []
+    while True:
+        if arcs.count() <= AT_ONCE:
+            gone.append(arcs.repartition(1).sortWithinPartitions("i").mapInArrow(_in_order, "i bigint"))
+            break
+        later = arcs.select(F.col("i").alias("n")).distinct()
+        out = materialise(arcs.join(later, "n", "left_anti").select("i").distinct())
+        gone.append(out)
+        arcs = materialise(arcs.join(out, "i", "left_anti").join(out.withColumnRenamed("i", "n"), "n", "left_anti").select("i", "n"))
+    return reduce(DataFrame.unionByName, gone)
+
+
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    dropped: set[int] = set()
+    for b in batches:
+        for i, n in zip(b.column("i").to_pylist(), b.column("n").to_pylist(), strict=True):
+            if n not in dropped:
+                dropped.add(i)
+    yield pa.RecordBatch.from_arrays([pa.array(sorted(dropped), pa.int64())], names=["i"])
+
+
+def greedy_keep(df: DataFrame, group: list[str], item: str, bits: str, order: list[str], distance: int, *, score_only: bool = False) -> DataFrame:
     """Greedy near-duplicate removal: (group, item, keep, dup_of, reason), one row per item.
 
     In the order of ``order`` a row is kept unless an earlier kept row of its
@@ -61,32 +134,22 @@ def greedy_keep(df: DataFrame, group: list[str], item: str, bits: str, order: li
     hash, else the earliest kept row within the distance.  Rows without a hash are kept.
     ``score_only`` records ``dup_of`` and the reason but keeps every row.
 
-    All hashes are decided side by side, in rounds: one whose earlier
-    neighbours are all decided follows from them.  The number of rounds is the
-    longest chain of neighbours, not the number of rows.
+    Hashes are numbered in their order and decided side by side, in rounds; only
+    pairs take part in these.  A null group is a group.
     """
     rows = df.select(*group, F.col(item).alias("__i"), F.col(bits).alias("__h"), F.struct(*order).alias("__o"))
-    reps = materialise(rows.where("__h is not null").groupBy(*group, "__h").agg(F.min(F.struct("__o", "__i")).alias("__f")))
-    pairs = near_pairs(reps, group, "__h", distance, spare=spare)
-    keys = [*group, "__h"]
-    both = pairs.select(*group, F.col("a").alias("__h"), F.col("b").alias("__n")).unionByName(pairs.select(*group, F.col("b").alias("__h"), F.col("a").alias("__n")))
-    named = reps.select(*group, F.col("__h").alias("__n"), F.col("__f").alias("__nf"))
-    # Arcs from a hash to its earlier neighbours.
-    arcs = materialise(both.join(reps, keys).join(named, [*group, "__n"]).where("__nf < __f").select(*keys, "__n", "__nf"))
-    state = materialise(reps.select(*keys, F.lit(None).cast("boolean").alias("__keep"), F.lit(None).cast(dict(named.dtypes)["__nf"]).alias("__by")))
-    while True:
-        told = state.select(*group, F.col("__h").alias("__n"), F.col("__keep").alias("__nk"))
-        seen = arcs.join(told, [*group, "__n"]).groupBy(*keys).agg(F.min(F.when(F.col("__nk"), F.col("__nf"))).alias("__kept"), F.max(F.col("__nk").isNull()).alias("__wait"))
-        known = state.join(seen, keys, "left")
-        # A kept earlier neighbour decides at once only if no undecided one could come before it.
-        ready = ~F.coalesce("__wait", F.lit(False))
-        decided = F.when(F.col("__keep").isNotNull(), F.col("__keep")).when(F.col("__kept").isNotNull() & ready, False).when(ready, True)
-        state = materialise(known.select(*keys, decided.alias("__keep"), F.coalesce("__by", F.when(ready, F.col("__kept"))).alias("__by")))
-        if not state.where("__keep is null").limit(1).count():
-            break
-    joined = rows.join(reps.join(state, keys), keys, "left")
-    copy = F.col("__i") != F.col("__f.__i")
-    dup = F.when(copy, F.col("__f.__i")).otherwise(F.col("__by.__i"))
+    firsts = rows.where("__h is not null").groupBy(*group, "__h").agg(F.min(F.struct("__o", "__i")).alias("__f"))
+    reps = _numbered(firsts, group, ["__f", "__h"])
+    arcs = materialise(_near(reps.select("g", "id", F.col("__h").alias("h")), distance).select(F.col("b").alias("i"), F.col("a").alias("n")))
+    gone = materialise(_dropped(arcs))
+    by = arcs.join(gone.withColumnRenamed("i", "n"), "n", "left_anti").groupBy(F.col("i").alias("id")).agg(F.min("n").alias("__n"))
+    named = by.join(reps.select(F.col("id").alias("__n"), F.col("__f.__i").alias("__by")), "__n").select("id", "__by")
+    known = reps.join(named, "id", "left").select(*[F.col(c).alias(f"__g{k}") for k, c in enumerate(group)], F.col("__h").alias("__k"), F.col("__f.__i").alias("__first"), "__by")
+    on = F.col("__h") == F.col("__k")
+    for k, c in enumerate(group):
+        on = on & F.col(c).eqNullSafe(F.col(f"__g{k}"))
+    joined = rows.join(known, on, "left")
+    dup = F.when(F.col("__i") != F.col("__first"), F.col("__first")).otherwise(F.col("__by"))
     kept = F.col("__h").isNull() | dup.isNull()
     return joined.select(*group, F.col("__i").alias(item), (F.lit(True) if score_only else kept).alias("keep"), F.when(~kept, dup).alias("dup_of"), F.when(~kept, "duplicate").alias("reason"))
 

@@ -17,6 +17,7 @@ from filmloom.operators import lookups as L
 from filmloom.operators import reports as R
 from filmloom.operators import voting as O
 from filmloom.plans.base import CUR, REG, clips, nn, r, source_types
+from filmloom.session import materialise
 from filmloom.sources import sinks
 from filmloom.sources.tables import table
 
@@ -139,7 +140,7 @@ def dup_cross_source(spark, folder: str) -> DataFrame:
     """Near duplicates across all movies, six bits apart, among the clips that removal within each movie keeps."""
     rows = clips(spark, folder, "video_id", "phash", "timestamp_start").withColumn("bits", phash_bits(F.col("phash")))
     kept = dup_greedy_keep(spark, folder).where("keep").select("clip_id")
-    return D.greedy_keep(rows.join(kept, "clip_id", "left_semi"), [], "clip_id", "bits", ["video_id", "timestamp_start", "clip_id"], 6)
+    return D.greedy_keep(materialise(rows.join(kept, "clip_id", "left_semi")), [], "clip_id", "bits", ["video_id", "timestamp_start", "clip_id"], 6)
 
 
 def dup_content(spark, folder: str) -> DataFrame:

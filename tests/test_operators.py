@@ -113,6 +113,36 @@ def test_greedy_removal(spark, seed):
     assert marked.where("not keep").count() == 0 and marked.where("dup_of is not null").count() == sum(d is not None for _, d in got.values())
 
 
+def test_pairs_of_a_hot_group(spark, monkeypatch):
+    # More than LEAF hashes that agree on a band, among them tight families; batches cut the runs.
+    monkeypatch.setattr(D, "BATCH", 500)
+    rng = np.random.default_rng(3)
+    near = np.uint64(0xABCD << 48) | rng.integers(0, 1 << 48, 2500, dtype=np.uint64)
+    family = near[:40, None] ^ (np.uint64(1) << rng.integers(0, 64, (40, 5), dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, (40, 5), dtype=np.uint64))
+    h = np.unique(np.concatenate([near, family.ravel()]))
+    rows = [(g, int(x)) for g, part in ((None, h[:50]), ("hot", h), ("b", h[::9])) for x in part.view(np.int64)]
+    want = set()
+    for g in (None, "hot", "b"):
+        own = np.sort(np.array([x for k, x in rows if k == g]))
+        i, j = np.nonzero(np.triu(np.bitwise_count((own[:, None] ^ own).view(np.uint64)) <= 8, 1))
+        want |= {(g, int(own[x]), int(own[y])) for x, y in zip(i, j, strict=True)}
+    df = spark.createDataFrame(rows + rows[:99], "m string, h bigint")
+    got = [tuple(r) for r in D.near_pairs(df, ["m"], "h", 8).select("m", "a", "b").collect()]
+    assert len(want) > 400 and len(got) == len(want) and set(got) == want
+
+
+@pytest.mark.parametrize("at_once", [0, 1 << 20])
+def test_removal_along_a_long_chain(spark, monkeypatch, at_once):
+    # Each hash is near the two before it; a round decides what it can, or one task goes through all.
+    monkeypatch.setattr(D, "AT_ONCE", at_once)
+    calls, write = [], D.materialise
+    monkeypatch.setattr(D, "materialise", lambda df: calls.append(1) or write(df))
+    rows = [("m", i, (1 << i) - 1) for i in range(24 if not at_once else 60)]
+    got = {r.i: r.dup_of for r in D.greedy_keep(spark.createDataFrame(rows, "m string, i int, h bigint"), ["m"], "i", "h", ["i"], 2).collect()}
+    assert got == {i: i - i % 3 if i % 3 else None for i, *_ in [r[1:] for r in rows]}
+    assert len(calls) < (20 if not at_once else 4)
+
+
 def test_chain_of_near_hashes(spark):
     # A~B~C without A~C: A and C stay.
     rows = [("m", "a", 0), ("m", "b", 0b1111), ("m", "c", 0b11111111)]
