@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filmloom.operators.positions import positions
+
 
 def _islands(df: DataFrame, part: list[str], start: str, end: str, gap: float, touching: bool) -> DataFrame:
     w = Window.partitionBy(*part).orderBy(start, end)
@@ -44,12 +48,22 @@ def gaps(df: DataFrame, group: list[str], start: str, end: str, least: float = 0
 
 
 def scenes_from_cuts(df: DataFrame, group: list[str], cut: str, duration: str, least: float = 0.5) -> DataFrame:
-    """Scenes between cuts, from 0 to the duration: (group, scene_id from 0, start, end); those under ``least`` are dropped and the rest renumbered."""
-    edges = df.groupBy(*group).agg(F.max(duration).alias("__d"), F.collect_set(cut).alias("__c"))
-    inside = F.filter("__c", lambda x: (x > 0) & (x < F.col("__d")))
-    at = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0)), inside, F.array(F.col("__d")))))
-    pairs = F.filter(F.transform(F.sequence(F.lit(1), F.size(at) - 1), lambda i: F.struct(F.element_at(at, i).alias("start"), F.element_at(at, i + 1).alias("end"))), lambda p: p["end"] - p["start"] >= least)
-    return edges.where("__d > 0").select(*group, F.posexplode(pairs).alias("scene_id", "__p")).select(*group, "scene_id", "__p.start", "__p.end")
+    """Scenes between cuts, from 0 to the duration: (group, scene_id from 0, start, end); those under ``least`` are dropped and the rest renumbered.
+
+    Each edge meets the next by its position, so a group of any size spreads over many tasks.  A null group is a group.
+    """
+    same = lambda a, b: reduce(Column.__and__, [a[g].eqNullSafe(b[f"__g{i}"]) for i, g in enumerate(group)], F.lit(True))
+    names = [F.col(g).alias(f"__g{i}") for i, g in enumerate(group)]
+    whole = df.groupBy(*group).agg(F.max(duration).alias("__d")).where("__d > 0")
+    length = whole.select(*names, "__d")
+    cuts = df.select(*group, F.col(cut).alias("start")).where("start > 0").distinct()
+    inside = cuts.join(length, same(cuts, length)).where("start < __d").select(*group, "start")
+    edges = inside.unionByName(whole.select(*group, F.explode(F.array(F.lit(0.0), "__d")).alias("start")))
+    at = positions(edges, group, [F.col("start")], name="__p")
+    after = at.select(*names, (F.col("__p") - 1).alias("__q"), F.col("start").alias("end"))
+    scenes = at.join(after, (at["__p"] == after["__q"]) & same(at, after)).where(F.col("end") - F.col("start") >= least)
+    numbered = positions(scenes.select(*group, "start", "end"), group, [F.col("start")], name="scene_id")
+    return numbered.select(*group, (F.col("scene_id") - 1).cast("int").alias("scene_id"), "start", "end")
 
 
 def tile(df: DataFrame, group: list[str], start: str, end: str, length: float, *, most: int | None = None) -> DataFrame:

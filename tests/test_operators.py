@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -287,3 +288,17 @@ def test_duplicates_across_movies(spark, monkeypatch):
     monkeypatch.setattr(records, "clips", lambda spark, folder, *columns: df)
     got = {r.clip_id: (r.keep, r.dup_of) for r in records.dup_cross_source(spark, "").collect()}
     assert got == {"a1": (True, None), "b1": (False, "a1"), "b2": (True, None), "c1": (True, None), "c2": (True, None)}
+
+
+def test_scenes_of_a_movie_with_many_cuts(spark):
+    rng = random.Random(4)
+    cuts = [round(rng.uniform(-5, 4100), 3) for _ in range(8000)]
+    rows = [("hot", c, 4000.0) for c in cuts] + [(None, c, d) for c, d in ((0.0, 9.0), (3.0, None), (3.0, 10.0), (3.2, 8.0), (10.0, 8.0), (11.0, 1.0), (None, 2.0), (float("nan"), 3.0))]
+    rows += [("short", 0.1, 0.4), ("none", 1.0, None), ("still", 0.0, 2.0), ("back", 1.0, -1.0)]
+    began = time.monotonic()
+    got = sorted(I.scenes_from_cuts(spark.createDataFrame(rows, "m string, c double, d double"), ["m"], "c", "d").collect(), key=lambda r: (str(r.m), r.scene_id))
+    assert time.monotonic() - began < 100  # as an array of all cuts per movie this took minutes
+    edges = [0.0, *sorted({c for c in cuts if 0 < c < 4000}), 4000.0]
+    scenes = [(a, b) for a, b in zip(edges, edges[1:], strict=False) if b - a >= 0.5]
+    want = [(None, 0, 0.0, 3.0), (None, 1, 3.2, 10.0)] + [("hot", i, a, b) for i, (a, b) in enumerate(scenes)] + [("still", 0, 0.0, 2.0)]
+    assert [tuple(r) for r in got] == want
